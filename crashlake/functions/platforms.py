@@ -40,9 +40,9 @@ def ilike_map(df: DataFrame, rules: DataFrame, col: str, value: str, out: str,
     matched against the distinct texts only, and the facts then join on equality.
     Where several patterns fit, the smallest (value, pattern) is taken.
     """
-    rows = bounded_rows(rules.select(value, pattern).orderBy(value, pattern))
+    rows = bounded_rows(rules.select(value, pattern))
     if rows is not None:
-        return df.withColumn(out, ilike_case(F.col(col), [(r[0], r[1]) for r in rows]))
+        return df.withColumn(out, ilike_case(F.col(col), sorted((r[0], r[1]) for r in rows)))
     texts = df.select(F.col(col).alias("_text")).where("_text IS NOT NULL").distinct()
     rule = rules.select(F.col(value).alias("_value"), F.col(pattern).alias("_pattern"))
     mapped = (texts.join(rule, F.expr("_text ILIKE _pattern"))

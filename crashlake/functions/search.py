@@ -31,11 +31,11 @@ PLUGIN_FIELDS = {"name": "plugin_name", "filename": "plugin_filename"}
 
 
 def _typed(value, kind: str):
+    if value is None or value == "":
+        return None
     if kind.endswith("[]"):
         items = [value] if isinstance(value, str) else list(value)
         return [str(v) for v in items if v not in (None, "")] or None
-    if value is None or value == "":
-        return None
     if kind == "int":
         return int(value)
     if kind == "datetime" and isinstance(value, str):

@@ -18,10 +18,10 @@ def uptime_level(df: DataFrame, levels: DataFrame, value: str = "uptime_level",
     distinct uptimes, which then join the facts on equality.
     """
     cols = levels.select(value, "min_uptime", "max_uptime")
-    rows = bounded_rows(cols.orderBy("min_uptime"))
+    rows = bounded_rows(cols)
     if rows is not None:
         level: Column | None = None
-        for v, low, high in rows:
+        for v, low, high in sorted(rows, key=lambda r: r[1]):
             hit = (F.col(uptime) >= low) & (F.col(uptime) < high)
             level = F.when(hit, F.lit(v)) if level is None else level.when(hit, F.lit(v))
         out = df.withColumn(value, F.lit(None) if level is None else level)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from crashlake.functions import versions as V
 from crashlake.functions.platforms import ilike_map, os_version_parts, os_version_string
 from crashlake.functions.text import nonzero_string
+from crashlake.session import cut_lineage
 
 
 def lookup_id(c: Column, exact: bool = False) -> Column:
@@ -82,7 +83,7 @@ def recent_releases(releases: DataFrame, products: DataFrame, repos: DataFrame,
     r = releases.where(
         (V.build_date(F.col("build_id")) > F.date_sub(F.lit(today).cast("date"), window))
         & V.version_matches_channel(F.col("version"), F.col("build_type")))
-    r = (r.drop("product_name").withColumn("_release", F.lower(releases["product_name"]))
+    r = (r.withColumn("_release", F.lower("product_name")).drop("product_name")
          .withColumns({"_platform": F.lower("platform"), "_repo": F.lower("repository"),
                        "_channel": F.lower("build_type")}))
     r = r.join(repos.select(F.lower("repository").alias("_repo")).distinct(), "_repo", "left_semi")
@@ -117,7 +118,9 @@ def update_product_versions(releases: DataFrame, products: DataFrame, repos: Dat
     A parent has beta number 0, no builds, and the sunset of its first beta; children carry
     its id. Running twice on the same releases adds nothing.
     """
-    recent = recent_releases(releases, products, repos, specials, today, window, copies)
+    # a few weeks of releases feed both outputs and three kinds of versions: kept once
+    recent = cut_lineage(
+        recent_releases(releases, products, repos, specials, today, window, copies))
     rapid = recent.where(F.col("is_rapid"))
     first = F.min("build_id").alias("_first")
     product, version, beta = F.col("product_name"), F.col("version"), F.col("beta_number")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from crashlake.functions.times import in_range
 from crashlake.operators import adu, correlations, explosive, graphs, hangs, topcrash, users
 from crashlake.operators.clean import Dims, build_reports_clean, day_is_complete
 from crashlake.operators.counts import signature_counts
@@ -227,27 +228,41 @@ def load_dims(w: Warehouse) -> Dims:
                 _t(w, "windows_versions"))
 
 
-def clean_hours(w: Warehouse, start: dt.datetime, end: dt.datetime, hours: int = 1,
-                replace: bool = False) -> int:
-    """Clean a time range of stored reports step by step; gives the number of steps.
-
-    Facts lie under week and step, so that a repeated step replaces its own rows. With
-    ``replace`` rows that were cleaned before are cleaned again.
+def _write_hours(w: Warehouse, name: str, df: DataFrame, start: dt.datetime,
+                 end: dt.datetime) -> None:
+    """Replace the hours of a step (at most 24), also those that have no rows any more."""
+    hour = F.date_format("date_processed", "yyyyMMddHH").cast("int")
+    week = F.to_date(F.date_trunc("week", F.col("date_processed")))
+    rows = df.withColumns({"week": week, "hour": hour})
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("week", "hour").parquet(w.path(name)))
+    new = {r[0] for r in rows.select("hour").distinct().collect()}
+    monday = start.date() - dt.timedelta(days=start.weekday())
+    first, last = int(f"{start:%Y%m%d%H}"), int(f"{end - dt.timedelta(seconds=1):%Y%m%d%H}")
+    old = w.table(name).where((F.col("week") == F.lit(monday)) & F.col("hour").between(first, last))
+    stale = [r[0] for r in old.select("hour").distinct().collect() if r[0] not in new]
+    w.drop_days(f"{name}/week={monday}", "hour", stale)
+
+
+def clean_hours(w: Warehouse, start: dt.datetime, end: dt.datetime, hours: int = 1) -> int:
+    """Clean whole hours of stored reports step by step; gives the number of steps.
+
+    Facts lie under week and hour and a step replaces its hours, so that cleaning again,
+    after late reports came or after a failure, leaves each report once. Ids that other
+    hours have are skipped.
     """
+    if start != start.replace(minute=0, second=0, microsecond=0):
+        raise ValueError("steps start at full hours")
     dims, n = load_dims(w), 0
     for a, b in hour_steps(start, end, hours):
-        done = None if replace else w.read("reports_clean")
-        stamp = f"{a:%Y%m%d%H%M%S}"
+        done = w.read("reports_clean")
         if done is not None:
-            done = done.where(F.col("step") != stamp)
+            done = done.where(~in_range(F.col("date_processed"), a, b))
         out = build_reports_clean(_t(w, "reports"), dims, done, w.read("reports_duplicates"), a, b)
         out.staged = cut_lineage(out.staged)
-        for name, df in (("reports_clean", out.clean), ("reports_user_info", out.user_info),
-                         ("reports_bad", out.bad)):
-            week = F.to_date(F.date_trunc("week", F.col("date_processed")))
-            (df.withColumns({"week": week, "step": F.lit(stamp)}).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("week", "step")
-             .parquet(w.path(name)))
+        _write_hours(w, "reports_clean", out.clean, a, b)
+        _write_hours(w, "reports_user_info", out.user_info, a, b)
+        _write_hours(w, "reports_bad", out.bad, a, b)
         n += 1
     return n
 
