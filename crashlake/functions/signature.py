@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
+from crashlake.functions.text import let, strip
+
 # Frames left out of a signature (matched from the start of the frame).
 IRRELEVANT_FRAMES = (
     r"@0x[0-9a-fA-F]{2,}",
@@ -90,9 +92,9 @@ def normalize_frame(module: Column, function: Column, source: Column, line: Colu
     name = F.regexp_replace(name, r" (?=[*&,])", "")
     name = F.regexp_replace(name, r",(?! )", ", ")
     name = F.regexp_replace(name, r"(<|, )(\d+)([uUlL]?)([^\w])", "$1int$4")
-    path = F.regexp_replace(source, r"[/\\]+$", "")
-    file = F.when(path.contains("\\"), F.regexp_extract(path, r"([^\\]*)$", 1)) \
-        .otherwise(F.regexp_extract(path, r"([^/]*)$", 1))
+    path = F.rtrim(source, F.lit("/\\"))
+    file = F.when(path.contains("\\"), F.substring_index(path, "\\", -1)) \
+        .otherwise(F.substring_index(path, "/", -1))
     return (F.when(~_blank(function), name)
             .when(~_blank(source) & ~_blank(line), F.concat(file, F.lit("#"), line))
             .otherwise(F.concat(F.coalesce(module, F.lit("")), F.lit("@"),
@@ -115,9 +117,9 @@ def from_sentinel(frames: Column, rules: SignatureRules) -> Column:
         found.append(at if other is None else F.when(F.array_contains(frames, other), at))
     if not found:
         return frames
-    first = F.array_min(F.array_compact(F.array(*found)))
-    return F.when(first.isNotNull(), F.slice(frames, first, F.greatest(F.size(frames), F.lit(1)))) \
-        .otherwise(frames)
+    return let(F.array_min(F.array_compact(F.array(*found))), lambda first: F.when(
+        first.isNotNull(), F.slice(frames, first.cast("int"), F.greatest(F.size(frames), F.lit(1))))
+        .otherwise(frames))
 
 
 def c_signature(frames: Column, hang_type: Column, thread: Column,
@@ -127,51 +129,62 @@ def c_signature(frames: Column, hang_type: Column, thread: Column,
     Irrelevant frames are skipped; frames are joined down to the first one that is not a
     prefix frame. Hang type -1 and 1 put ``hang`` or ``chromehang`` in front.
     """
-    stack = from_sentinel(F.coalesce(frames, F.array().cast("array<string>")), rules)
-    relevant = F.filter(stack, lambda f: ~f.rlike(_starts(rules.irrelevant)))
-    stop = F.array_position(F.transform(relevant, lambda f: ~f.rlike(_starts(rules.prefix))),
-                            F.lit(True))
-    kept = F.when(stop > 0, F.slice(relevant, 1, stop.cast("int"))).otherwise(relevant)
     prefix = F.when(hang_type == -1, F.lit("hang")).when(hang_type == 1, F.lit("chromehang"))
-    joined = F.array_join(F.array_compact(F.concat(F.array(prefix), kept)), " | ")
-    empty = joined == ""
-    text = (F.when(~empty, joined)
-            .when(thread.isNull(), F.lit("EMPTY: no crashing thread identified"))
-            .otherwise(F.coalesce(F.get(stack, 0), F.lit("EMPTY: no frame data available"))))
-    notes = F.array_compact(F.array(
-        F.when(empty & thread.isNull(), F.lit("no signature: the crashing thread is unknown")),
-        F.when(empty & thread.isNotNull(), F.concat(
-            F.lit("no signature: no usable frames in thread "), thread.cast("string"))),
-        F.when(F.length(text) > rules.max_length, F.lit("signature truncated due to length"))))
-    return F.struct(_finish(text, rules).alias("signature"), notes.alias("notes"))
+
+    def joined(relevant: Column) -> Column:
+        ends = F.transform(relevant, lambda f: ~f.rlike(_starts(rules.prefix)))
+        kept = let(F.array_position(ends, F.lit(True)).cast("int"), lambda stop: F.when(
+            stop > 0, F.slice(relevant, 1, F.greatest(stop, F.lit(1)))).otherwise(relevant))
+        return F.array_join(F.array_compact(F.concat(F.array(prefix), kept)), " | ")
+
+    def named(stack: Column, text: Column) -> Column:
+        empty = text == ""
+        full = (F.when(~empty, text)
+                .when(thread.isNull(), F.lit("EMPTY: no crashing thread identified"))
+                .otherwise(F.coalesce(F.get(stack, 0), F.lit("EMPTY: no frame data available"))))
+        why = F.when(thread.isNull(), F.lit("no signature: the crashing thread is unknown")) \
+            .otherwise(F.concat(F.lit("no signature: no usable frames in thread "),
+                                thread.cast("string")))
+        return let(full, lambda t: F.struct(
+            _finish(t, rules).alias("signature"),
+            F.array_compact(F.array(F.when(empty, why), _cut_note(t, rules))).alias("notes")))
+
+    stack = from_sentinel(F.coalesce(frames, F.array().cast("array<string>")), rules)
+    return let(stack, lambda st: let(
+        let(F.filter(st, lambda f: ~f.rlike(_starts(rules.irrelevant))), joined),
+        lambda text: named(st, text)))
+
+
+def _cut_note(text: Column, rules: SignatureRules) -> Column:
+    return F.when(F.length(text) > rules.max_length, F.lit("signature truncated due to length"))
 
 
 def java_signature(trace: Column, rules: SignatureRules = DEFAULT_RULES) -> Column:
     """Struct(signature, notes): exception class, description, method without line number."""
     body = F.regexp_replace(trace, r"(\r\n|\n|\r)$", "")
-    lines = F.transform(F.split(body, r"\r\n|\n|\r"),
-                        lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
-    first, second = F.get(lines, 0), F.get(lines, 1)
-    two = F.size(F.split(first, ":")) == 2
-    strip = r"^\s+|\s+$"
-    name = F.when(two, F.concat(F.regexp_replace(F.element_at(F.split(first, ":"), 1), strip, ""),
-                                F.lit(":"))).otherwise(F.concat(first, F.lit(":")))
-    about = F.when(two, F.regexp_replace(F.element_at(F.split(first, ":"), 2), strip, "")) \
-        .otherwise(F.lit(""))
-    method = F.coalesce(F.regexp_replace(second, r"\.java:\d+\)$", ".java)"), F.lit(""))
-    full = F.array_join(F.filter(F.array(name, about, method), lambda s: s != ""), " ")
-    long = F.length(full) > rules.max_length
-    text = F.when(long, F.concat(name, F.lit(" "), method)).otherwise(full)
-    text = F.when(trace.isNull(), F.lit("EMPTY: Java stack trace not in expected format")) \
-        .otherwise(text)
-    notes = F.array_compact(F.array(
-        F.when(trace.isNull(), F.lit("stack trace not in expected format")),
-        F.when(~two, F.lit("stack trace line 1 is not in the expected format")),
-        F.when(trace.isNotNull() & second.isNull(), F.lit("stack trace line 2 is missing")),
-        F.when(second == "", F.lit("stack trace line 2 is empty")),
-        F.when(long, F.lit("dropped exception description due to length")),
-        F.when(F.length(text) > rules.max_length, F.lit("signature truncated due to length"))))
-    return F.struct(_finish(text, rules).alias("signature"), notes.alias("notes"))
+    lines = F.transform(F.slice(F.split(body, r"\r\n|\n|\r"), 1, 2), strip)
+
+    def made(two_lines: Column, words: Column) -> Column:
+        first, second = F.get(two_lines, 0), F.get(two_lines, 1)
+        two = F.size(words) == 2
+        name = F.concat(F.when(two, strip(F.get(words, 0))).otherwise(first), F.lit(":"))
+        about = F.when(two, strip(F.get(words, 1))).otherwise(F.lit(""))
+        method = F.coalesce(F.regexp_replace(second, r"\.java:\d+\)$", ".java)"), F.lit(""))
+        full = F.array_join(F.filter(F.array(name, about, method), lambda s: s != ""), " ")
+        long = F.length(full) > rules.max_length
+        text = F.when(long, F.concat(name, F.lit(" "), method)).otherwise(full)
+        return let(text, lambda t: F.struct(
+            _finish(t, rules).alias("signature"), F.array_compact(F.array(
+                F.when(~two, F.lit("stack trace line 1 is not in the expected format")),
+                F.when(second.isNull(), F.lit("stack trace line 2 is missing")),
+                F.when(second == "", F.lit("stack trace line 2 is empty")),
+                F.when(long, F.lit("dropped exception description due to length")),
+                _cut_note(t, rules))).alias("notes")))
+
+    none = F.struct(F.lit("EMPTY: Java stack trace not in expected format").alias("signature"),
+                    F.array(F.lit("stack trace not in expected format")).alias("notes"))
+    return F.when(trace.isNull(), none).otherwise(
+        let(lines, lambda ls: let(F.split(F.get(ls, 0), ":"), lambda ws: made(ls, ws))))
 
 
 def signature(trace: Column, frames: Column, hang_type: Column, thread: Column,

@@ -2,11 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 UNKNOWN = "Unknown"
 
 
+#: Characters that count as blank at the ends of a text.
+BLANKS = " \t\n\r\f\x0b"
+
+
+def strip(c: Column) -> Column:
+    """Text without blanks at its ends."""
+    return F.btrim(c, F.lit(BLANKS))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def ci(c: Column) -> Column:
     """Key for case-insensitive equality, ordering and grouping."""
     return F.lower(c)
@@ -84,13 +100,12 @@ def url_parts(c: Column) -> Column:
 def signatures_in_bug(c: Column) -> Column:
     """Distinct trimmed texts between ``[@`` and ``]``."""
     found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r"(?s)\[@([^\]]*)\]"), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda s: F.regexp_replace(s, r"^\s+|\s+$", "")))
+    return F.array_distinct(F.transform(found, strip))
 
 
 def one_line(c: Column) -> Column:
     """Cell text: trimmed, carriage returns dropped, newlines shown as `` | ``."""
-    trimmed = F.regexp_replace(c, r"^\s+|\s+$", "")
-    return F.replace(F.replace(trimmed, F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(" | "))
+    return F.replace(F.replace(strip(c), F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(" | "))
 
 
 def cell(c: Column) -> Column:

@@ -5,25 +5,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
-def dense_rank_by(df: DataFrame, keys: list[str], measure: str, name: str) -> DataFrame:
-    """Dense rank by a falling count within ``keys``.
+def _levels(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
+    """Distinct counts of each group, with the number of rows that have them."""
+    return df.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_n"))
 
-    The window runs over the distinct counts, of which a group of N reports has at most
-    about sqrt(2 N); the rows get their rank by an equality join, so that a group holding
-    most of the rows is never sorted in one task.
-    """
-    w = Window.partitionBy(*keys).orderBy(F.desc(measure))
-    ranks = df.select(*keys, measure).distinct().withColumn(name, F.dense_rank().over(w))
-    return df.join(ranks, [*keys, measure])
 
+def dense_rank_by(df: DataFrame, keys: list[str], measure: str, rank: str,
+                  total: str) -> DataFrame:
+    """Dense rank by a falling count within ``keys``, and the sum of the counts.
 
-def rank_by(df: DataFrame, keys: list[str], measure: str, name: str) -> DataFrame:
-    """Zero-based rank by a falling count, ties sharing the best place (same method)."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(measure)) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    levels = df.groupBy(*keys, measure).agg(F.count(F.lit(1)).alias("_n"))
-    ranks = levels.withColumn(name, F.coalesce(F.sum("_n").over(w), F.lit(0))).drop("_n")
-    return df.join(ranks, [*keys, measure])
+    The windows run over the distinct counts, of which a group of N reports has at most
+    about sqrt(2 N); the rows get rank and sum by an equality join, so that a group holding
+    most of the rows is never sorted in one task.
+    """
+    group = Window.partitionBy(*keys)
+    levels = _levels(df, keys, measure).withColumns({
+        rank: F.dense_rank().over(group.orderBy(F.desc(measure))),
+        total: F.sum(F.col(measure) * F.col("_n")).over(group)}).drop("_n")
+    return df.join(levels, [*keys, measure])
+
+
+def rank_by(df: DataFrame, keys: list[str], measure: str, rank: str, total: str) -> DataFrame:
+    """Zero-based rank by a falling count within ``keys``, ties sharing the best place, and
+    the sum of the counts (same method)."""
+    group = Window.partitionBy(*keys)
+    above = group.orderBy(F.desc(measure)).rowsBetween(Window.unboundedPreceding, -1)
+    levels = _levels(df, keys, measure).withColumns({
+        rank: F.coalesce(F.sum("_n").over(above), F.lit(0)),
+        total: F.sum(F.col(measure) * F.col("_n")).over(group)}).drop("_n")
+    return df.join(levels, [*keys, measure])
 
 
 def with_total(df: DataFrame, keys: list[str], measure: str, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crashlake.functions.signature import DEFAULT_RULES, SignatureRules, normalize_frame, signature
+from crashlake.functions.text import let, strip
 from crashlake.functions.times import in_range, ooid_date
 
 # (raw key, column, greatest length, note when missing)
@@ -113,13 +114,19 @@ def addon_notes(c: Column) -> Column:
         bad, lambda x: F.concat(F.lit('"'), x, F.lit('" lacks a name or a version of an addon'))))
 
 
-def _lines(dump: Column) -> Column:
-    return F.transform(F.split(dump, r"\r?\n"), lambda s: F.regexp_replace(s, r"^\s+|\s+$", ""))
+def _with_lines(df: DataFrame, dump: str) -> DataFrame:
+    """Dump lines without blanks at their ends, and the place of the first blank line.
+
+    Every later step reads these columns, so that a dump is cut once.
+    """
+    if "_lines" in df.columns:
+        return df
+    df = df.withColumn("_lines", F.transform(F.split(dump, "\n"), strip))
+    return df.withColumn("_blank", F.array_position("_lines", F.lit("")).cast("int"))
 
 
 def _fields(line: Column) -> Column:
-    return F.transform(F.split(line, r"\|"),
-                       lambda s: F.nullif(F.regexp_replace(s, r"^\s+|\s+$", ""), F.lit("")))
+    return F.transform(F.split(line, r"\|"), lambda s: F.nullif(strip(s), F.lit("")))
 
 
 # Module file names of the Flash plugin, with their version parts.
@@ -142,18 +149,19 @@ def parse_dump_header(df: DataFrame, dump: str = "dump") -> DataFrame:
     OS, CPU, reason, address, crashed thread and Flash version; of repeated lines the last
     one counts, of Flash modules the first with a version.
     """
-    lines = _lines(F.col(dump))
-    end = F.array_position(lines, F.lit(""))
-    head = F.when(end > 0, F.slice(lines, 1, (end - 1).cast("int"))).otherwise(lines)
+    df = _with_lines(df, dump)
+    head = F.when(F.col("_blank") > 0, F.slice("_lines", 1, F.greatest(F.col("_blank") - 1, F.lit(0)))) \
+        .otherwise(F.col("_lines"))
     df = df.withColumn("_head", F.transform(head, _fields))
-    good = F.filter(F.col("_head"), lambda f: F.size(f) >= 3)
+    df = df.withColumn("_good", F.filter("_head", lambda f: F.size(f) >= 3))
 
     def last(kind: str) -> Column:
-        return F.try_element_at(F.filter(good, lambda f: f[0] == kind), F.lit(-1))
+        return F.try_element_at(F.filter("_good", lambda f: f[0] == kind), F.lit(-1))
 
-    os, cpu, crash = last("OS"), last("CPU"), last("Crash")
+    df = df.withColumns({"_os": last("OS"), "_cpu": last("CPU"), "_crash": last("Crash")})
+    os, cpu, crash = F.col("_os"), F.col("_cpu"), F.col("_crash")
     flash = F.array_compact(F.transform(
-        F.filter(good, lambda f: (f[0] == "Module") & (F.size(f) >= 5)),
+        F.filter("_good", lambda f: (f[0] == "Module") & (F.size(f) >= 5)),
         lambda f: flash_version(f[1], f[2])))
     info = F.substring(F.get(cpu, 2), 1, 100)
     out = df.withColumns({
@@ -172,7 +180,8 @@ def parse_dump_header(df: DataFrame, dump: str = "dump") -> DataFrame:
         out, F.when(F.size("_head") == 0, F.lit("no header lines in the dump")),
         F.when(F.exists("_head", lambda f: F.size(f) < 3), F.lit("cannot parse a header line")),
         F.when(F.col("crashed_thread").isNull(),
-               F.lit("No thread was identified as the cause of the crash"))).drop("_head")
+               F.lit("No thread was identified as the cause of the crash"))
+    ).drop("_head", "_good", "_os", "_cpu", "_crash")
 
 
 MAX_SIGNATURE_FRAMES = 30
@@ -187,41 +196,41 @@ def parse_frames(df: DataFrame, dump: str = "dump", long_stack: int = 100,
     Adds ``frames`` (structs), ``frame_texts`` (normal forms), ``topmost_filenames`` and
     ``truncated``. Only the first unbroken run of the thread counts.
     """
-    lines = _lines(F.col(dump))
-    end = F.array_position(lines, F.lit(""))
-    body = F.when(end > 0, F.slice(lines, (end + 1).cast("int"), F.size(lines))) \
+    df = _with_lines(df, dump)
+    body = F.when(F.col("_blank") > 0, F.filter(
+        F.slice("_lines", F.col("_blank") + 1, F.size("_lines")), lambda s: s != "")) \
         .otherwise(F.array().cast("array<string>"))
 
     def frame(line: Column) -> Column:
-        parts = _fields(line)
-        return F.struct(*[F.get(parts, i).alias(n) for i, n in enumerate(_FRAME)])
+        return let(_fields(line), lambda p: F.struct(
+            *[F.get(p, i).alias(n) for i, n in enumerate(_FRAME)]))
 
     df = df.withColumns({
-        "_all": F.transform(F.filter(body, lambda s: s != ""), frame),
+        "_all": F.transform(body, frame),
         "_thread": F.when(F.col("hang_type") == 1, F.lit(0)).otherwise(F.col("crashed_thread")),
     })
-    thread = F.col("_thread")
-    mine = F.transform("_all", lambda f: F.coalesce(f["thread"].try_cast("int") == thread,
-                                                    F.lit(False)))
-    first = F.array_position(mine, F.lit(True)).cast("int")
-    after = F.slice(mine, F.greatest(first, F.lit(1)), F.greatest(F.size(mine), F.lit(1)))
-    stop = F.array_position(after, F.lit(False)).cast("int")
-    length = F.when(first == 0, 0).when(stop == 0, F.size(after)).otherwise(stop - 1)
-    df = df.withColumns({"_first": first, "_length": length})
-    run = F.slice("_all", F.greatest(F.col("_first"), F.lit(1)),
-                  F.least(F.col("_length"), F.lit(MAX_SIGNATURE_FRAMES)))
+    df = df.withColumn("_mine", F.transform("_all", lambda f: F.coalesce(
+        f["thread"].try_cast("int") == F.col("_thread"), F.lit(False))))
+    df = df.withColumn("_first", F.array_position("_mine", F.lit(True)).cast("int"))
+    df = df.withColumn("_after", F.slice("_mine", F.greatest("_first", F.lit(1)),
+                                         F.greatest(F.size("_mine"), F.lit(1))))
+    df = df.withColumn("_stop", F.array_position("_after", F.lit(False)).cast("int"))
+    df = df.withColumn("_length", F.when(F.col("_first") == 0, 0)
+                       .when(F.col("_stop") == 0, F.size("_after")).otherwise(F.col("_stop") - 1))
     # source files are taken from everything read up to the line that ends the run
     read = F.when(F.col("_first") == 0, F.col("_all")).otherwise(
         F.slice("_all", 1, F.col("_first") + F.col("_length")))
     sources = F.filter(F.transform(read, lambda f: f["source"]), lambda s: s.isNotNull())
     df = df.withColumns({
-        "frames": run,
+        "frames": F.slice("_all", F.greatest("_first", F.lit(1)),
+                          F.least("_length", F.lit(MAX_SIGNATURE_FRAMES))),
         "topmost_filenames": F.coalesce(F.get(sources, 0), F.lit("")),
         "truncated": F.col("_length") > long_stack,
     })
     texts = F.transform("frames", lambda f: normalize_frame(
         f["module"], f["function"], f["source"], f["line"], f["address"], rules))
-    return df.withColumn("frame_texts", texts).drop("_all", "_thread", "_first", "_length")
+    return df.withColumn("frame_texts", texts).drop(
+        "_all", "_thread", "_mine", "_first", "_after", "_stop", "_length", "_lines", "_blank")
 
 
 def explode_frames(df: DataFrame, key: str = "uuid") -> DataFrame:

@@ -126,15 +126,14 @@ def top_crashers(tcbs: DataFrame, product_versions: DataFrame, signatures: DataF
     both = rows.groupBy("signature").agg(
         F.sum(F.when(now, F.col(picked)).otherwise(0)).alias("report_count"),
         F.sum(F.when(now, F.lit(0)).otherwise(F.col(picked))).alias("_before"), *sums, *kinds)
-    total = both.agg(F.sum("report_count")).scalar()
-    total_before = both.agg(F.sum("_before")).scalar()
     current = C.rank_by(both.where("report_count > 0").withColumn("_all", F.lit(1)),
-                        ["_all"], "report_count", "current_rank")
+                        ["_all"], "report_count", "current_rank", "_total")
     top = current.orderBy("current_rank", "signature").limit(limit)
     previous = C.rank_by(both.where("_before > 0").select("signature", "_before")
-                         .withColumn("_all", F.lit(1)), ["_all"], "_before", "previous_rank")
+                         .withColumn("_all", F.lit(1)), ["_all"], "_before", "previous_rank",
+                         "_total_before")
     previous = previous.select("signature", "previous_rank",
-                               (F.col("_before") / total_before).alias("_share"))
+                               (F.col("_before") / F.col("_total_before")).alias("_share"))
     out = top.drop("_all", "_before").join(previous, "signature", "left")
     firsts = signatures.select("signature", "first_report")
     lists = rollup if product is None else rollup.where(F.lower("product_name") == product.lower())
@@ -145,7 +144,7 @@ def top_crashers(tcbs: DataFrame, product_versions: DataFrame, signatures: DataF
         "signature", F.col("ver_count").alias("versions_count"),
         F.array_join("version_list", ", ").alias("versions"))
     out = out.join(firsts, "signature", "left").join(lists, "signature", "left")
-    share = F.col("report_count") / total
+    share = F.col("report_count") / F.col("_total")
     return out.select(
         "signature", "report_count", "win_count", "mac_count", "lin_count", "hang_count",
         "content_count", "plugin_count", "current_rank", "previous_rank",

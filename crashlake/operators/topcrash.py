@@ -93,8 +93,7 @@ def tcbs_ranking(tcbs_rows: DataFrame, start=None, end=None) -> DataFrame:
         level = F.when(hit, F.lit(name)) if level is None else level.when(hit, F.lit(name))
     rows = summed.withColumn("aggregation_level", level).drop("_gp", "_gc")
     keys = ["report_date", "aggregation_level"]
-    rows = C.with_total(rows, keys, "report_count", "total_reports")
-    return C.dense_rank_by(rows, keys, "report_count", "rank_report_count")
+    return C.dense_rank_by(rows, keys, "report_count", "rank_report_count", "total_reports")
 
 
 def rank_compare(clean: DataFrame, start=None, end=None) -> DataFrame:
@@ -102,8 +101,7 @@ def rank_compare(clean: DataFrame, start=None, end=None) -> DataFrame:
     keys = ["report_date", "product_version_id"]
     r = C.report_day(clean.where(ts_in_days(F.col("date_processed"), start, end)))
     counts = r.groupBy(*keys, "signature").agg(F.count(F.lit(1)).alias("report_count"))
-    rows = C.with_total(counts, keys, "report_count", "total_reports")
-    rows = C.dense_rank_by(rows, keys, "report_count", "rank_report_count")
+    rows = C.dense_rank_by(counts, keys, "report_count", "rank_report_count", "total_reports")
     share = F.round(F.col("report_count") / F.col("total_reports"), 5)
     return rows.withColumns({"rank_days": F.lit(1), "percent_of_total": share})
 
