@@ -239,7 +239,10 @@ def _write_hours(w: Warehouse, name: str, df: DataFrame, start: dt.datetime,
     new = {r[0] for r in rows.select("hour").distinct().collect()}
     monday = start.date() - dt.timedelta(days=start.weekday())
     first, last = int(f"{start:%Y%m%d%H}"), int(f"{end - dt.timedelta(seconds=1):%Y%m%d%H}")
-    old = w.table(name).where((F.col("week") == F.lit(monday)) & F.col("hour").between(first, last))
+    stored = w.read(name)
+    if stored is None:  # nothing was ever written: no file, so no table yet
+        return
+    old = stored.where((F.col("week") == F.lit(monday)) & F.col("hour").between(first, last))
     stale = [r[0] for r in old.select("hour").distinct().collect() if r[0] not in new]
     w.drop_days(f"{name}/week={monday}", "hour", stale)
 

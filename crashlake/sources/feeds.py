@@ -88,7 +88,7 @@ def parse_info_files(files: DataFrame, repositories: tuple[str, str] = ("release
 def load_releases(spark: SparkSession, path: str,
                   repositories: tuple[str, str] = ("release", "beta")) -> DataFrame:
     """All build info files below a folder; one row per file, whole files per row."""
-    files = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.txt").text(path)
+    files = (spark.read.text(path, wholetext=True, pathGlobFilter="*.txt",
+                             recursiveFileLookup=True)
              .select("value", F.col("_metadata.file_path").alias("path")))
     return parse_info_files(files, repositories)
