@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from crashlake.session import rule_rows
+
 
 def _levels(df: DataFrame, keys: list[str], measure: str) -> DataFrame:
     """Distinct counts of each group, with the number of rows that have them."""
@@ -77,7 +79,7 @@ def crash_kind(df: DataFrame, crash_types: DataFrame) -> DataFrame:
 
 def with_crash_types(df: DataFrame, crash_types: DataFrame, *cols: str) -> DataFrame:
     """Every row once per crash type, by exploding the short type list as a literal."""
-    rows = crash_types.select(*cols).collect()
+    rows = rule_rows(crash_types.select(*cols))
     kinds = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in cols]) for r in rows])
     return df.withColumn("_kind", F.explode(kinds)).select(*df.columns, "_kind.*")
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from crashlake.functions import versions as V
 from crashlake.functions.platforms import ilike_map, os_version_parts, os_version_string
 from crashlake.functions.text import nonzero_string
-from crashlake.session import cut_lineage
+from crashlake.session import cut_lineage, rule_rows
 
 
 def lookup_id(c: Column, exact: bool = False) -> Column:
@@ -36,7 +36,7 @@ def grow_lookup(new: DataFrame, lookup: DataFrame | None, col: str, ts: str = "d
 
 def windows_rows(windows_versions: DataFrame) -> list[tuple[str, int, int]]:
     rows = windows_versions.select("windows_version_name", "major_version", "minor_version")
-    return [(r[0], r[1], r[2]) for r in rows.collect()]
+    return [(r[0], r[1], r[2]) for r in rule_rows(rows)]
 
 
 def grow_os_versions(new: DataFrame, matches: DataFrame, windows_versions: DataFrame,

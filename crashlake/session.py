@@ -44,3 +44,11 @@ def bounded_rows(df: DataFrame, limit: int = MAX_RULE_ROWS) -> list | None:
     """
     rows = df.take(limit + 1)
     return None if len(rows) > limit else rows
+
+
+def rule_rows(df: DataFrame, limit: int = MAX_RULE_ROWS) -> list:
+    """The rows of a table that must be short; an error when it is not."""
+    rows = bounded_rows(df, limit)
+    if rows is None:
+        raise ValueError(f"a rule table has more than {limit} rows")
+    return rows
