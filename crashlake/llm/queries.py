@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crashlake.llm import mixing, ring
+from crashlake.llm import licenses, mixing, quality, ring
 from crashlake.llm.common import documents
 from crashlake.session import configure
 
@@ -59,3 +59,15 @@ UNION ALL SELECT doc_id, source, size, source_size, target, 0, NULL FROM p WHERE
 def op9(spark, folder):
     """Words the mix takes of every document, with its source's target."""
     return mixing.mix(documents(spark, folder)).select("doc_id", "source", "size", "source_size", "target", "taken", "finish")
+
+
+@query("op5_license_scan")
+def op5(spark, folder):
+    """Licenses of every document: exact phrases, labels by voting, and covered share."""
+    return licenses.scan_licenses(documents(spark, folder))
+
+
+@query("op7_quality_outliers")
+def op7(spark, folder):
+    """Statistics, base rules and robust verdict of every document."""
+    return quality.quality_report(documents(spark, folder))
