@@ -83,11 +83,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, passes: int = PA
     turns = store(turns, "mix-turns")
     ends = turns.groupBy("stretch").agg(F.sum("size").alias("words"))
     ends = ends.withColumn("ahead", F.coalesce(F.sum("words").over(past(order=["stretch"])), F.lit(0))).drop("words")
-    whole = aims.agg(F.sum("target").alias("budget"))
+    budget = aims.agg(F.sum("target")).first()[0] or 0.0
     upto = (Window.partitionBy("stretch").orderBy("finish", "key", "doc_id", "source", "size", "copy", "turn")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    run = (turns.withColumn("run", F.sum("size").over(upto)).join(ends.join(F.broadcast(whole)), "stretch")
-           .withColumn("sent", F.when(F.col("ahead") + F.col("run") <= F.col("budget"), F.col("size"))
+    run = (turns.withColumn("run", F.sum("size").over(upto)).join(ends, "stretch")
+           .withColumn("sent", F.when(F.col("ahead") + F.col("run") <= F.lit(budget), F.col("size"))
                        .otherwise(F.lit(0))))
     same = ["doc_id", "source", "size", "source_size", "target"]
     took = run.groupBy(*same, "copy").agg(F.sum("sent").alias("taken"), F.min("finish").alias("finish")).drop("copy")

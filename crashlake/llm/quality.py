@@ -15,7 +15,7 @@ WINDOW, LEAST_WORDS, MOST_REPEAT = 8, 20, 30
 CORE, STEPS, CUT = 0.75, 5, 50.0
 #: Transformed statistics, and the least standard deviation each is taken to have: where most
 #: documents of a group have the same value, smaller differences than these mean nothing.
-FLOORS = {"v_length": 0.1, "v_symbols": 0.15, "v_lines": 0.15, "v_repeats": 0.15}
+FLOORS = {"v_length": 0.1, "v_symbols": 0.08, "v_lines": 0.15, "v_repeats": 0.15}
 KEYS = ("lang", "source")
 
 
