@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+import crashlake
+
 from crashlake.session import checkpoint_dir
 
 #: A word: a run of anything but space and the control characters 9 to 13.
@@ -28,6 +33,18 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the package to the Python workers, once a session, and texts in small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    context = spark.sparkContext
+    if not getattr(context, "_crashlake_shipped", False):
+        home = os.path.dirname(os.path.abspath(crashlake.__file__))
+        archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(), "crashlake"), "zip",
+                                      os.path.dirname(home), os.path.basename(home))
+        context.addPyFile(archive)
+        context._crashlake_shipped = True
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text, empty for null."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

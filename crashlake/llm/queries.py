@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crashlake.llm import licenses, mixing, quality, ring
+from crashlake.llm import decontaminate, licenses, minhash, mixing, quality, ring
 from crashlake.llm.common import documents
 from crashlake.session import configure
 
@@ -71,3 +71,16 @@ def op5(spark, folder):
 def op7(spark, folder):
     """Statistics, base rules and robust verdict of every document."""
     return quality.quality_report(documents(spark, folder))
+
+
+@query("op8_minhash_near_duplicates")
+def op8(spark, folder):
+    """Components of documents whose two-word shingles agree by 80 in 100."""
+    return minhash.near_duplicates(documents(spark, folder), words=2, percent=80)
+
+
+@query("op3_spaced_seed_leaks")
+def op3(spark, folder):
+    """Overlaps of documents with benchmark items."""
+    return (decontaminate.find_leaks(documents(spark, folder), documents(spark, folder, "benchmark"))
+            .select("doc_id", "item_id", "first_word", "n_words", "n_matched"))
