@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crashlake.llm import decontaminate, licenses, minhash, mixing, quality, ring
+from crashlake.llm import decontaminate, licenses, minhash, mixing, quality, ring, token_files
 from crashlake.llm.common import documents
 from crashlake.session import configure
 
@@ -84,3 +85,9 @@ def op3(spark, folder):
     """Overlaps of documents with benchmark items."""
     return (decontaminate.find_leaks(documents(spark, folder), documents(spark, folder, "benchmark"))
             .select("doc_id", "item_id", "first_word", "n_words", "n_matched"))
+
+
+@query("op1_huffman_token_files")
+def op1(spark, folder):
+    """Token files of all documents, written and read back."""
+    return token_files.token_digest(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
