@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crashlake.llm import decontaminate, licenses, minhash, mixing, quality, ring, token_files
+from crashlake.llm import decontaminate, licenses, minhash, mixing, quality, ring, token_files, toxicity
 from crashlake.llm.common import documents
 from crashlake.session import configure
 
@@ -91,3 +91,9 @@ def op3(spark, folder):
 def op1(spark, folder):
     """Token files of all documents, written and read back."""
     return token_files.token_digest(documents(spark, folder), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op2_nb_char_toxicity")
+def op2(spark, folder):
+    """Toxicity of every document, learned from labels outside the held-out fold."""
+    return toxicity.score_toxicity(documents(spark, folder), documents(spark, folder, "labels"))
