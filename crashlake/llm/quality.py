@@ -151,22 +151,6 @@ def robust_estimates(rows: DataFrame) -> DataFrame:
     return best.select(*KEYS, "b.*")
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """All rows and columns of ``docs`` with the statistics, base_failed, distance and kept.
-
-    A document is kept when the base rules pass and its squared Mahalanobis distance from the
-    robust centre of its language and source is at most ``CUT``. Documents that fail the base
-    rules take no part in the estimates. Null language and source are groups like others; a
-    group of one is its own centre. Null texts count as empty and fail by their word count;
-    an empty table gives no rows. Columns of the same names as the statistics are replaced.
-    """
-    names = list(FLOORS)
-    stats = with_vectors(with_statistics(docs))
-    narrow = store(stats.select(*KEYS, *names, "base_failed"), "mcd-rows")
-    estimates = robust_estimates(narrow.where("NOT base_failed").drop("base_failed"))
-    return _verdict(stats, estimates, names)
-
-
 def _verdict(stats: DataFrame, estimates: DataFrame, names: list[str]) -> DataFrame:
     right = estimates.withColumnsRenamed({k: f"_{k}" for k in KEYS})
     on = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KEYS]
@@ -177,15 +161,30 @@ def _verdict(stats: DataFrame, estimates: DataFrame, names: list[str]) -> DataFr
 
 
 def quality_report(docs: DataFrame) -> DataFrame:
-    """doc_id, statistics, base_failed, distance and kept of every document; texts are read once."""
+    """Return doc_id, lang, source, text_key, the statistics, base_failed, distance and kept of every row.
+
+    A document is kept when the base rules pass and its squared Mahalanobis distance from the
+    robust centre of its language and source is at most ``CUT``. Documents that fail the base
+    rules take no part in the estimates. Null language and source are groups like others; a
+    group of one is its own centre. Null texts count as empty and fail by their word count;
+    null doc_ids are kept as they are; an empty table gives no rows. ``text_key`` is the hash
+    of the text. Texts are read once, and only their statistics are written.
+    """
     names = list(FLOORS)
-    wanted = ["doc_id", *KEYS, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    stats = store(with_vectors(with_statistics(docs.select("doc_id", *KEYS, "text"))).select(*wanted, *names), "quality")
+    wanted = ["doc_id", *KEYS, "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    stats = store(with_vectors(with_statistics(
+        docs.select("doc_id", *KEYS, "text", F.xxhash64(text_of()).alias("text_key")))).select(*wanted, *names), "quality")
     estimates = robust_estimates(stats.where("NOT base_failed").select(*KEYS, *names))
-    return _verdict(stats, estimates, names).drop(*KEYS)
+    return _verdict(stats, estimates, names)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows and columns of ``docs`` that ``judge`` keeps."""
-    kept = judge(docs.select([F.col(c) for c in docs.columns])).where("kept")
-    return kept.select(*docs.columns)
+    """The rows and columns of ``docs`` that ``quality_report`` keeps.
+
+    Verdicts come back by doc_id, language, source and text hash, on which alone they depend.
+    """
+    own = {"doc_id": "_id", "lang": "_lang", "source": "_source", "text_key": "_key"}
+    bad = store(quality_report(docs).where("NOT kept").select(*own).distinct().withColumnsRenamed(own), "rejected")
+    same = (docs.doc_id.eqNullSafe(F.col("_id")) & docs.lang.eqNullSafe(F.col("_lang"))
+            & docs.source.eqNullSafe(F.col("_source")) & (F.xxhash64(text_of(docs.text)) == F.col("_key")))
+    return docs.join(bad, same, "left_anti")

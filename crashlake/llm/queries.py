@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crashlake.llm import decontaminate, licenses, minhash, mixing, quality, ring, token_files, toxicity
+from crashlake.llm import chaining, decontaminate, licenses, minhash, mixing, quality, ring, token_files, toxicity
 from crashlake.llm.common import documents
 from crashlake.session import configure
 
@@ -71,7 +71,7 @@ def op5(spark, folder):
 @query("op7_quality_outliers")
 def op7(spark, folder):
     """Statistics, base rules and robust verdict of every document."""
-    return quality.quality_report(documents(spark, folder))
+    return quality.quality_report(documents(spark, folder)).drop("lang", "source", "text_key")
 
 
 @query("op8_minhash_near_duplicates")
@@ -97,3 +97,9 @@ def op1(spark, folder):
 def op2(spark, folder):
     """Toxicity of every document, learned from labels outside the held-out fold."""
     return toxicity.score_toxicity(documents(spark, folder), documents(spark, folder, "labels"))
+
+
+@query("op4_chained_passages")
+def op4(spark, folder):
+    """Fuzzy passages that documents share with earlier ones."""
+    return chaining.fuzzy_passages(documents(spark, folder))
