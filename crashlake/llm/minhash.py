@@ -9,14 +9,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from crashlake.llm.common import ship, store
+from crashlake.llm.common import WORD, ship, store, text_of
 from crashlake.llm.components import components
 from crashlake.llm.words import grams, mix, slices, word_hashes
 
 #: Places that the first permutation sends shingles to; bands and rows of the signature. A pair
 #: of similarity 0.8 shares no band once in 300,000 times.
 PLACES, BANDS, ROWS = 1 << 22, 32, 5
-SKETCH = "doc_id long, n_shingles long, set_id binary, bands array<long>"
+#: Further members of a band's largest component that the sets outside it are held against
+#: before the exact join.
+TURNS = 2
+SKETCH = "doc_id long, text_key long, n_shingles long, set_id binary, bands array<long>"
 
 
 @cache
@@ -71,8 +74,8 @@ def sketcher(words: int):
                 continue
             keys = band_keys(np.stack(sigs)).ravel()
             bands = pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1, dtype=np.int32) * BANDS), pa.array(keys))
-            yield pa.record_batch([batch["doc_id"].cast(pa.int64()), pa.array(sizes, pa.int64()),
-                                   pa.array(ids, pa.binary()), bands], ["doc_id", "n_shingles", "set_id", "bands"])
+            yield pa.record_batch([batch["doc_id"], batch["text_key"], pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
+                                   bands], ["doc_id", "text_key", "n_shingles", "set_id", "bands"])
     return sketch
 
 
@@ -106,58 +109,99 @@ def verifier(percent: int):
     return verify
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Return doc_id, n_shingles, component_id and kept for every row.
+def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Return doc_id, text_key, n_shingles and label, that of its component, for every row.
 
     Documents are linked when the sets of their ``words``-word shingles share ``percent``
     hundredths of their union; texts with fewer words have their whole sequence as the one
-    shingle. component_id is the smallest doc_id a document reaches.
+    shingle. ``text_key`` is the hash of the text; the label is null for texts without words.
 
     Rows of equal sets collapse to one set first, so exact copies cost one row. Sets that share
-    a band go in a star around the smallest set of the band, verified on full sets. Only sets
-    in bands that still hold several components go on, to an exact prefix-filtered join:
+    a band go in a star around the one that shares most bands, verified on full sets; then the
+    sets outside a band's largest component are held against a few more of its members. Only
+    bands that still hold several components go on, to an exact prefix-filtered join:
     a set's rarest shingles, as many as any partner must meet, are joined, and each group sends
     the sets outside its largest component against the rest. So a group of near copies costs a
     row for each of its members, and no band is capped.
-
-    Texts without words are linked with nothing and kept; null is empty. Null doc_ids take
-    part; a component of null ids alone has component_id null. kept is doc_id = component_id,
-    where two nulls are equal. Other columns are not read; an empty table gives no rows.
     """
     ship(docs.sparkSession)
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("text_key"), "text")
     sketches = store(source.mapInArrow(sketcher(words), SKETCH), "sketches")
-    sets = sketches.where("n_shingles > 0").groupBy("set_id").agg(F.first("bands").alias("bands"), F.first("n_shingles").alias("n"))
-    members = sets.select("set_id", "n", F.explode("bands").alias("band"))
-    heads = members.groupBy("band").agg(F.min("set_id").alias("head"), F.max("set_id").alias("tail")).where("head < tail")
-    members = store(members.join(heads.select("band", "head"), "band"), "bands")
-    wanted = members.select("set_id").distinct()
-    holders = (sketches.where("n_shingles > 0").groupBy("set_id").agg(F.min_by("doc_id", "doc_id").alias("doc_id"))
-               .join(wanted, "set_id"))
-    full = store(_texts_of(source, sketches, holders, words), "sets")
-
-    stars = members.where("set_id <> head").select(F.col("head").alias("a"), F.col("set_id").alias("b")).distinct()
-    links = store(_verified(stars, full, percent), "star-links")
-    label = components(links)
-    named = (members.join(label, members.set_id == label.node, "left")
-             .select("band", "set_id", F.coalesce("label", "set_id").alias("label")))
+    sets = sketches.where("n_shingles > 0").groupBy("set_id").agg(F.first("bands").alias("bands"))
+    members = sets.select("set_id", F.explode("bands").alias("band"))
+    shared = members.groupBy("band").agg(F.count("*").alias("k")).where("k > 1")
+    members = store(members.join(shared, "band"), "bands")
+    weight = members.groupBy("set_id").agg(F.sum("k").alias("weight"))
+    holders = (sketches.where("n_shingles > 0").groupBy("set_id").agg(F.min(F.struct("doc_id", "text_key")).alias("h"))
+               .join(weight.select("set_id"), "set_id").select("set_id", F.col("h.doc_id").alias("_id"), F.col("h.text_key").alias("_key")))
+    full = store(_texts_of(source, holders, words), "sets")
+
+    heads = members.join(weight, "set_id").groupBy("band").agg(F.max_by("set_id", F.struct("weight", "set_id")).alias("a"))
+    stars = members.join(heads, "band").where("set_id <> a").select("a", F.col("set_id").alias("b")).distinct()
+    links = store(_verified(stars, full, percent), "links")
+    named = _named(members, components(links))
+    for turn in range(TURNS):
+        sides = named.groupBy("band", "label").agg(F.count("*").alias("k"), F.max_by("set_id", F.xxhash64("set_id", F.lit(turn))).alias("a"))
+        main = (sides.groupBy("band").agg(F.max_by(F.struct("label", "a"), F.struct("k", "label")).alias("m"), F.count("*").alias("labels"))
+                .where("labels > 1").select("band", "m.*").withColumnRenamed("label", "main"))
+        pairs = named.join(main, "band").where("label <> main").select("a", F.col("set_id").alias("b")).distinct()
+        links = links.unionByName(store(_verified(pairs, full, percent), "links"))
+        named = _named(members, components(links))
     mixed = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
     open_sets = store(named.join(mixed, "band").select("set_id", "label").distinct(), "open-sets")
     more = store(_verified(_prefix_pairs(open_sets, full, percent), full, percent), "more-links")
     label = components(links.unionByName(more))
 
-    names = (sketches.join(label, sketches.set_id == label.node, "left")
-             .select("doc_id", "n_shingles", F.coalesce("label", "set_id").alias("label")))
-    least = names.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return (names.join(least, "label", "left")
+    return (sketches.join(label, sketches.set_id == label.node, "left")
+            .select("doc_id", "text_key", "n_shingles", F.coalesce("label", "set_id").alias("label")))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Return doc_id, n_shingles, component_id and kept for every row.
+
+    component_id is the smallest doc_id that a document reaches by links of ``near_groups``.
+    Texts without words are linked with nothing and kept; null is empty. Null doc_ids take
+    part; a component of null ids alone has component_id null. kept is doc_id = component_id,
+    where two nulls are equal. Other columns are not read; an empty table gives no rows.
+    """
+    rows = near_groups(docs, words, percent)
+    least = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    return (rows.join(least, "label", "left")
             .select("doc_id", "n_shingles",
                     F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
-def _texts_of(source: DataFrame, sketches: DataFrame, holders: DataFrame, words: int) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows and columns of ``docs`` without all but one of each group of near-duplicates.
+
+    The row with the smallest doc_id, then text hash, stays; null ids come last. A row that is
+    repeated with the same doc_id and text stays once. Texts without words all stay.
+    """
+    rows = store(near_groups(docs, words, percent), "groups").where("label IS NOT NULL")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    first = rows.groupBy("label").agg(F.min(order).alias("f")).select("label", F.col("f.doc_id").alias("_id"), F.col("f.text_key").alias("_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
+    marked = rows.join(first, "label").withColumn("same", same)
+    gone = store(marked.where("NOT same").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "gone")
+    left = docs.join(gone, docs.doc_id.eqNullSafe(F.col("_id")) & (F.xxhash64(text_of(docs.text)) == F.col("_key")), "left_anti")
+    if marked.where("same").groupBy("label").count().where("count > 1").isEmpty():
+        return left
+    named = left.withColumn("_key", F.xxhash64(text_of("text")))
+    bare = named.where(~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
+    return named.where(F.col("text").rlike(WORD)).dropDuplicates(["doc_id", "_key"]).unionByName(bare).drop("_key")
+
+
+def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(set_id, band, label) of all members; a set without links is its own label."""
+    return store(members.join(labels, members.set_id == labels.node, "left")
+                 .select("band", "set_id", F.coalesce("label", "set_id").alias("label")), "named")
+
+
+def _texts_of(source: DataFrame, holders: DataFrame, words: int) -> DataFrame:
     """set_id and its shingles, computed from the text of one document that has the set."""
-    texts = (source.join(holders, source.doc_id.eqNullSafe(holders.doc_id)).select("set_id", "text"))
+    texts = (source.join(holders, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
+             .select("set_id", "text"))
     return texts.mapInArrow(set_writer(words), "set_id binary, shingles binary").dropDuplicates(["set_id"])
 
 
@@ -187,14 +231,17 @@ def _prefix_pairs(open_sets: DataFrame, full: DataFrame, percent: int) -> DataFr
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     shared = (rows.join(seen, "s").withColumn("place", F.row_number().over(order))
               .withColumn("alone", F.col("n") - F.count("*").over(Window.partitionBy("set_id")))
-              .where(F.col("alone") + F.col("place") <= prefix).select("s", "set_id", "label", "n"))
+              .withColumn("place", F.col("alone") + F.col("place"))
+              .where(F.col("place") <= prefix).select("s", "set_id", "label", "n", "place"))
     shared = store(shared, "prefixes")
     most = (shared.groupBy("s", "label").agg(F.count("*").alias("k"))
             .groupBy("s").agg(F.max_by("label", F.struct("k", "label")).alias("main"), F.count("*").alias("labels"))
             .where("labels > 1").select("s", "main"))
     shared = shared.join(most, "s")
-    left = shared.where("label <> main").select("s", F.col("set_id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"))
-    right = shared.select("s", F.col("set_id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), "main")
-    fits = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    left = shared.where("label <> main").select("s", F.col("set_id").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("place").alias("pa"))
+    right = shared.select("s", F.col("set_id").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("place").alias("pb"), "main")
+    # sets of these sizes must share so many shingles, and so meet in shorter prefixes
+    need = F.ceil((F.col("na") + F.col("nb")) * percent / (100 + percent))
+    fits = (F.col("pa") <= F.col("na") - need + 1) & (F.col("pb") <= F.col("nb") - need + 1)
     return (left.join(right, "s").where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("main")) | (F.col("a") < F.col("b"))) & fits)
             .select("a", "b").distinct())
