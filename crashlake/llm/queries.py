@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crashlake.llm import chaining, decontaminate, licenses, minhash, mixing, quality, ring, token_files, toxicity
+from crashlake.llm import chaining, decontaminate, licenses, minhash, mixing, quality, ring, suffixes, token_files, toxicity
 from crashlake.llm.common import documents
 from crashlake.session import configure
 
@@ -103,3 +103,9 @@ def op2(spark, folder):
 def op4(spark, folder):
     """Fuzzy passages that documents share with earlier ones."""
     return chaining.fuzzy_passages(documents(spark, folder))
+
+
+@query("op10_repeated_bytes")
+def op10(spark, folder):
+    """What every document keeps without the 50-byte strings of earlier documents."""
+    return suffixes.remove_repeats(documents(spark, folder))
