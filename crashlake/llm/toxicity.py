@@ -12,8 +12,9 @@ from crashlake.llm.common import ship, store
 SIZES, BITS, BLOCK = (3, 4, 5), 20, 1 << 18
 #: Most labelled rows of each class that the classifier is fitted on, by the hash of doc_id.
 TOXIC_ROWS, CLEAN_ROWS = 3000, 6000
-#: Texts a feature must be in; smoothing, penalty, steps and step size of the fit.
-LEAST_TEXTS, SMOOTHING, PENALTY, STEPS, RATE = 3, 0.5, 1e-4, 80, 0.05
+#: Texts a feature must be in, and standard deviations its count in toxic texts must lie from
+#: what chance gives; smoothing, penalty, steps and step size of the fit.
+LEAST_TEXTS, LEAST_Z, SMOOTHING, PENALTY, STEPS, RATE = 3, 4.0, 1.0, 1e-4, 60, 0.05
 
 
 class Features:
@@ -50,6 +51,7 @@ def fit(features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, floa
 
     The input of feature j is its log-count ratio: the log of the share of toxic texts that
     hold it over the share of clean ones, both smoothed so that a feature never seen has 0.
+    Features whose counts chance explains are left out.
     Without both classes every weight is 0 and the bias is the prior's.
     """
     size, n = 1 << BITS, len(toxic)
@@ -57,17 +59,20 @@ def fit(features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, floa
     bias = float(np.log((ones + 0.5) / (n - ones + 1.5)))
     if not 0 < ones < n:
         return np.zeros(size, np.float32), bias
-    lengths = np.array([len(f) for f in features])
-    flat = np.concatenate(features).astype(np.int64)
-    rows = np.repeat(np.arange(n), lengths)
-    bad = np.bincount(flat, np.repeat(toxic, lengths).astype(float), size)
-    both = np.bincount(flat, minlength=size)
+    bad, both = np.zeros(size), np.zeros(size)
+    for f, y in zip(features, toxic):
+        both[f] += 1
+        bad[f] += y
     share = ones / n
     ratio = np.log((bad + SMOOTHING * share) / ones) - np.log((both - bad + SMOOTHING * (1 - share)) / (n - ones))
-    ratio[both < LEAST_TEXTS] = 0
-    keep = ratio[flat] != 0
-    used, inverse = np.unique(flat[keep], return_inverse=True)
-    rows, scaled = rows[keep], ratio[used]
+    chance = both * share
+    z = (bad - chance) / np.sqrt(chance * (1 - share) + 1e-9)
+    ratio[(both < LEAST_TEXTS) | (np.abs(z) < LEAST_Z)] = 0
+    used = np.flatnonzero(ratio)
+    place, scaled = np.full(size, -1, np.int32), ratio[used]
+    place[used] = np.arange(len(used))
+    kept = [p[p >= 0] for p in (place[f] for f in features)]
+    rows, inverse = np.repeat(np.arange(n), [len(k) for k in kept]), np.concatenate(kept)
     weights, first, second = np.zeros(len(used)), np.zeros(len(used) + 1), np.zeros(len(used) + 1)
     for t in range(1, STEPS + 1):
         line = np.bincount(rows, (weights * scaled)[inverse], n) + bias
@@ -98,7 +103,7 @@ def _scorer(model):
         weights, own = np.frombuffer(weights, np.float32), Features()
         for batch in batches:
             lines = np.array([float(weights[own.of(t)].sum()) + bias for t in batch["text"].to_pylist()], float)
-            scores = 1 / (1 + np.exp(-np.clip(lines, -30, 30)))
+            scores = 1 / (1 + np.exp(-np.clip(lines, -700, 700)))
             yield pa.record_batch([batch["doc_id"], batch["held_out"], pa.array(scores)], ["doc_id", "held_out", "score"])
     return score
 
