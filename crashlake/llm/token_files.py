@@ -69,13 +69,19 @@ class Encoder:
         return [b"".join(map(known, p)) if p else (self._raw([t])[0] if t else b"") for p, t in zip(parts, texts)]
 
 
+@cache
+def _encoder(path: str, kind: str) -> Encoder:
+    """One for all tasks of a worker, so that words stay known."""
+    return Encoder(path, np.dtype(kind))
+
+
 def id_kind(vocabulary: int):
     return np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
 
 
 def _encode(path: str, end: int, kind):
     def encode(batches):
-        encoder, seq = Encoder(path, kind), 0
+        encoder, seq = _encoder(path, kind.str), 0
         tail = np.array([end], kind).tobytes()
         for batch in batches:
             ids = [x + tail for x in encoder.encode(batch["text"].to_pylist())]
