@@ -45,6 +45,16 @@ def ship(spark: SparkSession) -> None:
         context._crashlake_shipped = True
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with more underscores before it while a column of ``df`` has it."""
+    have, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in have:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def text_of(col: str | Column = "text") -> Column:
     """The text, empty for null."""
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))

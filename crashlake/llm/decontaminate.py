@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from crashlake.llm.common import ship, store, text_of
+from crashlake.llm.common import ship, store, text_of, unused
 from crashlake.llm.words import ALNUM, mix, slices, word_hashes
 
 #: Seeds: six words in a row; six of eight, every third ignored; six of eleven, every second
@@ -154,5 +154,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` that overlap no item of the benchmark."""
-    leaks = store(find_leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "leaks")
-    return docs.join(leaks, docs.doc_id.eqNullSafe(F.col("_id")) & (F.xxhash64(text_of(docs.text)) == F.col("_key")), "left_anti")
+    i, k = unused(docs, "_id", "_key")
+    leaks = store(find_leaks(docs, benchmark).select(F.col("doc_id").alias(i), F.col("text_key").alias(k)).distinct(), "leaks")
+    return docs.join(leaks, docs.doc_id.eqNullSafe(F.col(i)) & (F.xxhash64(text_of(docs.text)) == F.col(k)), "left_anti")

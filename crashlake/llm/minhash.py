@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from crashlake.llm.common import WORD, ship, store, text_of
+from crashlake.llm.common import WORD, ship, store, text_of, unused
 from crashlake.llm.components import components
 from crashlake.llm.words import grams, mix, slices, word_hashes
 
@@ -183,13 +183,14 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     first = rows.groupBy("label").agg(F.min(order).alias("f")).select("label", F.col("f.doc_id").alias("_id"), F.col("f.text_key").alias("_key"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     marked = rows.join(first, "label").withColumn("same", same)
-    gone = store(marked.where("NOT same").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "gone")
-    left = docs.join(gone, docs.doc_id.eqNullSafe(F.col("_id")) & (F.xxhash64(text_of(docs.text)) == F.col("_key")), "left_anti")
+    i, k = unused(docs, "_id", "_key")
+    gone = store(marked.where("NOT same").select(F.col("doc_id").alias(i), F.col("text_key").alias(k)).distinct(), "gone")
+    left = docs.join(gone, docs.doc_id.eqNullSafe(F.col(i)) & (F.xxhash64(text_of(docs.text)) == F.col(k)), "left_anti")
     if marked.where("same").groupBy("label").count().where("count > 1").isEmpty():
         return left
-    named = left.withColumn("_key", F.xxhash64(text_of("text")))
+    named = left.withColumn(k, F.xxhash64(text_of("text")))
     bare = named.where(~F.coalesce(F.col("text"), F.lit("")).rlike(WORD))
-    return named.where(F.col("text").rlike(WORD)).dropDuplicates(["doc_id", "_key"]).unionByName(bare).drop("_key")
+    return named.where(F.col("text").rlike(WORD)).dropDuplicates(["doc_id", k]).unionByName(bare).drop(k)
 
 
 def _named(members: DataFrame, labels: DataFrame) -> DataFrame:

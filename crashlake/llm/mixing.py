@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from crashlake.llm.common import n_words, store, text_of
+from crashlake.llm.common import n_words, store, text_of, unused
 
 #: Weights by the rank of a source, repeating; share of all sizes; most passes over a source.
 WEIGHTS, SHARE, PASSES = (5, 2, 1), 1.5, 2
@@ -109,5 +109,5 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     return (docs.alias("d").join(turns.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t._id"))
                                  & F.col("d.source").eqNullSafe(F.col("t._source"))
                                  & (n_words(text_of("d.text")) == F.col("t._size")))
-            .withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("t._turns"))))
+            .withColumn(*unused(docs, "_turn"), F.explode(F.sequence(F.lit(1), F.col("t._turns"))))
             .select("d.*"))

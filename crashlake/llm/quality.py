@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crashlake.llm.common import store, text_of
+from crashlake.llm.common import store, text_of, unused
 
 #: Words of a window for repeats; rules that reject at once.
 WINDOW, LEAST_WORDS, MOST_REPEAT = 8, 20, 30
@@ -183,8 +183,10 @@ def keep_good(docs: DataFrame) -> DataFrame:
 
     Verdicts come back by doc_id, language, source and text hash, on which alone they depend.
     """
-    own = {"doc_id": "_id", "lang": "_lang", "source": "_source", "text_key": "_key"}
+    keys = ["doc_id", *KEYS, "text_key"]
+    own = dict(zip(keys, unused(docs, *[f"_{k}" for k in keys])))
     bad = store(quality_report(docs).where("NOT kept").select(*own).distinct().withColumnsRenamed(own), "rejected")
-    same = (docs.doc_id.eqNullSafe(F.col("_id")) & docs.lang.eqNullSafe(F.col("_lang"))
-            & docs.source.eqNullSafe(F.col("_source")) & (F.xxhash64(text_of(docs.text)) == F.col("_key")))
+    same = F.xxhash64(text_of(docs.text)) == F.col(own["text_key"])
+    for k in keys[:-1]:
+        same &= docs[k].eqNullSafe(F.col(own[k]))
     return docs.join(bad, same, "left_anti")
