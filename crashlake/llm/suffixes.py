@@ -18,7 +18,7 @@ from crashlake.llm.words import CHUNK, INVERSE, mix, powers, slices, text_bytes
 #: Bytes of a string that is removed, and of the anchor that picks the block it is compared in.
 LENGTH, ANCHOR = 50, 25
 #: Anchors or segment bytes of a task that are sent on together; symbols of a block.
-ENTRIES, HELD, BLOCK = 1 << 21, 1 << 24, 1 << 22
+ENTRIES, HELD, BLOCK = 1 << 21, 1 << 24, 1 << 18
 NOTE = "part int, kind int, block int, rows binary, counts binary, docs binary, a binary, b binary, c binary, texts binary"
 NAMES = [c.split()[0] for c in NOTE.split(", ")]
 TYPES = [pa.int32()] * 3 + [pa.binary()] * 7
@@ -38,11 +38,11 @@ def ordered_suffixes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     n = len(lines)
     sizes = np.array([len(s) for s in lines], np.int64)
     ends = np.cumsum(sizes + 1) - 1
-    symbols = np.zeros(int(ends[-1]) + 1, np.uint16)
-    symbols[np.delete(np.arange(len(symbols)), ends)] = np.frombuffer(b"".join(lines), np.uint8).astype(np.uint16) + 1
-    before = np.where(sizes > 0, symbols[ends - 1], 0).astype(np.uint16)
+    symbols = np.zeros(int(ends[-1]) + 1, np.uint8)
+    symbols[np.delete(np.arange(len(symbols)), ends)] = np.frombuffer(b"".join(lines), np.uint8) + 1  # no byte of UTF-8 is 255
+    before = np.where(sizes > 0, symbols[ends - 1], 0)
     with tempfile.TemporaryDirectory() as folder:
-        files = [(os.path.join(folder, name), kind) for name, kind in (("bwt", np.uint16), ("lcp", np.uint8), ("starts", np.uint32))]
+        files = [(os.path.join(folder, name), kind) for name, kind in (("bwt", np.uint8), ("lcp", np.uint8), ("starts", np.uint32))]
         for (path, kind), column in zip(files, (before, np.zeros(n), ends)):
             column.astype(kind).tofile(path)
         live, at = np.flatnonzero(sizes > 0), np.flatnonzero(sizes > 0)
@@ -66,7 +66,7 @@ def ordered_suffixes(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             for (path, kind), column, values in zip(files, (bwt, lcp, starts), columns):
                 grown = np.empty(len(old), kind)
                 grown[old], grown[new] = column, values
-                if kind is np.uint8:
+                if column is lcp:
                     grown[new[has_next] + 1] = follow
                 grown.tofile(path)
             more = sizes[live] > k
