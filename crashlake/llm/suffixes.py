@@ -313,12 +313,16 @@ def _judge_segments(parts: int):
         np.minimum.at(least, which, doc)
         anchor = np.empty(len(lines), np.int64)
         anchor[which] = low
-        owners: list = [None] * len(lines)
+        # a line whose anchor no other line has is equal to itself alone
+        owners = [np.full(len(x) - LENGTH + 1, d) for x, d in zip(lines, least.tolist())]
         order = np.argsort(anchor, kind="stable")
+        heads = np.flatnonzero(np.append(True, np.diff(anchor[order]) != 0))
+        sizes = np.diff(np.append(heads, len(order)))
+        order = order[np.repeat(sizes > 1, sizes)]
         total = np.cumsum([len(lines[i]) for i in order.tolist()])
-        new = np.append(True, np.diff(anchor[order]) != 0)
+        new = np.append(True, np.diff(anchor[order]) != 0)[:len(order)]
         begin = 0
-        for end in [*np.flatnonzero(new)[1:].tolist(), len(order)]:  # a block ends where an anchor does
+        for end in [*np.flatnonzero(new)[1:].tolist(), len(order)] if len(order) else []:  # a block ends where an anchor does
             if end == len(order) or total[end - 1] - (total[begin - 1] if begin else 0) >= BLOCK:
                 own = order[begin:end].tolist()
                 for i, o in zip(own, first_owners([lines[i] for i in own], least[own])):
