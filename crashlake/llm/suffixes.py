@@ -246,8 +246,13 @@ def _cut_segments(parts: int):
         known = doc > np.array([least[t] for t in texts], np.int64)
         size = np.array([len(t) for t in texts], np.uint32)
         ask, k = np.flatnonzero(~known), np.flatnonzero(known)
+        k = k[np.lexsort((start[k], row[k]))]
+        end = start[k] + size[k]  # runs follow each other within a text, so stretches that touch are one
+        new = np.append(True, (row[k][1:] != row[k][:-1]) | (start[k][1:] > end[:-1]))[:len(k)]
+        last = end[np.append(np.flatnonzero(new)[1:], len(k)) - 1] if len(k) else end
+        k = k[new]
         return _note([*_packed(block[ask], 0, 0, row[ask], doc[ask], start[ask], size[ask], low[ask], texts=[texts[i] for i in ask.tolist()]),
-                      *_packed(block[k], 1, 0, row[k], None, start[k], start[k] + size[k])])
+                      *_packed(block[k], 1, 0, row[k], None, start[k], last)])
 
     def cut(batches):
         part, keys, ids, notes = None, None, None, []
