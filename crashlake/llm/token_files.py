@@ -6,6 +6,7 @@ import os
 import zlib
 from functools import cache
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from crashlake.llm.common import shared_path, ship, store, text_of
 from crashlake.llm.huffman import BLOCK, Code, code_lengths
 
 #: Ids of a chunk, the row of a file that holds whole documents; words kept in a worker's memory.
-CHUNK, CACHED = 1 << 20, 250_000
+CHUNK, CACHED = 1 << 20, 600_000
 #: White space to Python's split that is none to the tokenizer.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 
@@ -31,7 +32,7 @@ class Encoder:
     """Ids of texts by a word-level tokenizer, each distinct word encoded once while it is kept.
 
     The tokenizer never joins text across white space, so a text's ids are those of its pieces.
-    A piece of letters with trailing stops or commas is two words to it. The memory of both
+    A piece of letters with trailing ASCII punctuation is two words to it. The memory of both
     tables is bounded: they start anew when full.
     """
 
@@ -44,13 +45,13 @@ class Encoder:
     def _learn(self, new: set[str]) -> None:
         split = {}
         for p in new:
-            core = p.rstrip(".,")
+            core = p.rstrip(punctuation)
             if core.isalpha():
                 split[p] = (core.lower() if core.isascii() else core, p[len(core):])
             else:
                 split[p] = (p, "")
         missing = list({w for pair in split.values() for w in pair if w and w not in self.words})
-        if len(self.words) + len(missing) > 2 * CACHED:
+        if len(self.words) + len(missing) > CACHED:
             self.words = {}
             missing = list({w for pair in split.values() for w in pair if w})
         self.words.update(zip(missing, self._raw(missing)))
