@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from crashlake.llm import chaining, decontaminate, licenses, minhash, mixing, quality, ring, suffixes, token_files, toxicity
+from crashlake.llm import (chaining, decontaminate, languages, licenses, merkle, minhash, mixing, negatives, quality, ring, suffixes,
+                           token_files, toxicity)
 from crashlake.llm.common import documents
 from crashlake.session import configure
 
@@ -109,3 +110,76 @@ def op4(spark, folder):
 def op10(spark, folder):
     """What every document keeps without the 50-byte strings of earlier documents."""
     return suffixes.remove_repeats(documents(spark, folder))
+
+
+@query("op11_output_code_language")
+def op11(spark, folder):
+    """Language of every document by output codes, learned outside the held-out fold."""
+    return languages.identify_languages(documents(spark, folder))
+
+
+MERKLE_SQL = r"""
+WITH RECURSIVE f AS (SELECT doc_id, lang, CAST(doc_id AS VARCHAR) AS d, n_chars, h.*
+  FROM documents, LATERAL (SELECT
+    CASE WHEN doc_id IS NULL THEN '-' ELSE concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id) END
+    || CASE WHEN source IS NULL THEN '-' ELSE concat(strlen(source), ':', source) END
+    || CASE WHEN lang IS NULL THEN '-' ELSE concat(strlen(lang), ':', lang) END AS head,
+    CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', text) END AS tail) AS h),
+c AS (SELECT *, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), [CAST(ascii(x) AS BIGINT) FOR x IN string_split(d, '')]),
+    lambda r, b: list_reduce(list_prepend(xor(r, b), [CAST(1 AS BIGINT) FOR k IN range(8)]),
+      lambda y, k: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)) AS crc FROM f),
+leaves AS (SELECT doc_id, lang,
+  sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars) END || tail) AS leaf,
+  CASE WHEN xor(crc, 4294967295) % 7 = 0 AND n_chars IS NOT NULL
+    THEN sha256(head || concat(strlen(CAST(n_chars + 1 AS VARCHAR)), ':', n_chars + 1) || tail) END AS changed FROM c),
+p AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS BIGINT) AS i,
+  count(*) OVER (PARTITION BY lang) AS n FROM leaves),
+tree AS (SELECT lang, 0 AS h, i, n, leaf AS node FROM p
+  UNION ALL SELECT lang, h + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM tree WHERE n > 1
+  GROUP BY lang, h, i // 2, n),
+subs AS (SELECT lang, node, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+top AS (SELECT 0 AS h, i, n, node FROM subs
+  UNION ALL SELECT h + 1, i // 2, (n + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY h, i // 2, n),
+way AS (SELECT doc_id, p.lang, leaf, coalesce(changed, leaf) AS folded, '' AS proof, p.i, p.n, 0 AS h, false AS above, s.i AS si, s.n AS sn, s.node AS subroot
+    FROM p JOIN subs AS s ON p.lang IS NOT DISTINCT FROM s.lang
+  UNION ALL
+  SELECT doc_id, w.lang, leaf,
+    CASE WHEN w.n = 1 THEN folded WHEN o.node IS NULL THEN sha256(folded) WHEN w.i % 2 = 1 THEN sha256(o.node || folded) ELSE sha256(folded || o.node) END,
+    CASE WHEN w.n = 1 THEN proof ELSE proof || coalesce(o.node, '') END,
+    CASE WHEN w.n = 1 THEN si ELSE w.i // 2 END, CASE WHEN w.n = 1 THEN sn ELSE (w.n + 1) // 2 END,
+    CASE WHEN w.n = 1 THEN 0 ELSE w.h + 1 END, above OR w.n = 1, si, sn, subroot
+  FROM way AS w LEFT JOIN (SELECT lang, false AS on_top, h, i, node FROM tree UNION ALL SELECT NULL, true, h, i, node FROM top) AS o
+    ON o.on_top = w.above AND o.h = w.h AND o.i = xor(w.i, 1) AND (w.above OR o.lang IS NOT DISTINCT FROM w.lang)
+  WHERE NOT (w.above AND w.n = 1))
+SELECT doc_id, leaf, subroot, r.node AS root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = r.node AS verified,
+  CAST(strlen(proof) // 64 AS INT) AS n_siblings
+FROM way, (SELECT node FROM top WHERE n = 1) AS r WHERE above AND way.n = 1
+"""
+
+
+@query("op12_postorder_manifest", MERKLE_SQL)
+def op12(spark, folder):
+    """Leaf, roots, proof and check of every document, read from a postorder log."""
+    return merkle.prove_documents(documents(spark, folder))
+
+
+NEGATIVES_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM e AS a, e AS b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
+@query("op13_pruned_negatives", NEGATIVES_SQL)
+def op13(spark, folder):
+    """Hard negatives of every fiftieth vector against all others."""
+    return negatives.hard_negatives(documents(spark, folder, "embeddings"))
