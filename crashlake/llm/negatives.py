@@ -214,14 +214,28 @@ def _first(buckets: DataFrame, block: tuple) -> DataFrame:
 
 
 def _blocks(pages: DataFrame, dims: int):
-    """Anchors by blocks of bounded size: (ids, labels, vectors); one block is on the driver at a time."""
-    most = max(1, BLOCK_BYTES // (8 * max(dims, 1)) // max(64, BUCKET_BYTES // (2 * max(dims, 1))))
-    for part, n in sorted(map(tuple, pages.groupBy("part").agg(F.max("seq") + 1).collect())):
-        for low in range(0, n, most):
-            rows = pages.where((F.col("part") == part) & F.col("seq").between(low, low + most - 1)).orderBy("seq").collect()
-            both = [unpack(r.asDict()) for r in rows]
-            labels = np.concatenate([np.full(len(b[0]), r.label) for r, b in zip(rows, both)])
-            yield np.concatenate([b[0] for b in both]), labels, np.concatenate([b[1] for b in both])
+    """Anchors by blocks of bounded size: (ids, labels, vectors); one block is on the driver at a time.
+
+    Small parts are taken together, a large one is cut between its pages.
+    """
+    most = max(1, BLOCK_BYTES // (8 * max(dims, 1)))
+    cut = max(1, most // max(64, BUCKET_BYTES // (2 * max(dims, 1))))
+    wanted, parts, held = [], [], 0
+    for part, n, rows in sorted(map(tuple, pages.groupBy("part").agg(F.max("seq") + 1, F.sum(F.octet_length("ids")) / 8).collect())):
+        if rows > most:
+            wanted += [(F.col("part") == part) & F.col("seq").between(low, low + cut - 1) for low in range(0, n, cut)]
+            continue
+        if held + rows > most:
+            wanted.append(F.col("part").isin(parts))
+            parts, held = [], 0
+        parts, held = [*parts, part], held + rows
+    if parts:
+        wanted.append(F.col("part").isin(parts))
+    for which in wanted:
+        rows = pages.where(which).orderBy("part", "seq").collect()
+        both = [unpack(r.asDict()) for r in rows]
+        labels = np.concatenate([np.full(len(b[0]), r.label) for r, b in zip(rows, both)])
+        yield np.concatenate([b[0] for b in both]), labels, np.concatenate([b[1] for b in both])
 
 
 def hard_negatives(rows: DataFrame, every: int = 50, positives: int = 5, negatives: int = 3,
