@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from crashlake.functions.text import UNKNOWN, extract
+from crashlake.operators.patterns import ilike_join
 from crashlake.session import bounded_rows
 
 
@@ -36,18 +37,18 @@ def ilike_map(df: DataFrame, rules: DataFrame, col: str, value: str, out: str,
               pattern: str = "match_string") -> DataFrame:
     """Map a text column to a canonical value by ILIKE patterns.
 
-    A short rule table becomes one CASE expression: no join, no shuffle. A long one is
-    matched against the distinct texts only, and the facts then join on equality.
+    A short rule table becomes one CASE expression: no join, no shuffle. A long one is looked
+    up through an index of its literals, with the same result.
     Where several patterns fit, the smallest (value, pattern) is taken.
     """
     rows = bounded_rows(rules.select(value, pattern))
     if rows is not None:
-        return df.withColumn(out, ilike_case(F.col(col), sorted((r[0], r[1]) for r in rows)))
-    texts = df.select(F.col(col).alias("_text")).where("_text IS NOT NULL").distinct()
+        ordered = sorted((r[0], r[1]) for r in rows if None not in (r[0], r[1]))
+        return df.withColumn(out, ilike_case(F.col(col), ordered))
+    texts = df.select(F.col(col).alias("_fitted")).where("_fitted IS NOT NULL").distinct()
     rule = rules.select(F.col(value).alias("_value"), F.col(pattern).alias("_pattern"))
-    mapped = (texts.join(rule, F.expr("_text ILIKE _pattern"))
-              .groupBy("_text").agg(F.min("_value").alias(out)))
-    return df.join(mapped, df[col] == mapped["_text"], "left").drop("_text")
+    mapped = ilike_join(texts, rule, "_fitted", "_pattern").groupBy("_fitted").agg(F.min("_value").alias(out))
+    return df.join(mapped, df[col] == mapped["_fitted"], "left").drop("_fitted")
 
 
 def os_version_parts(c: Column) -> Column:

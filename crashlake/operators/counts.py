@@ -7,29 +7,33 @@ from pyspark.sql import Column, DataFrame, functions as F
 from crashlake.functions.text import url_parts
 from crashlake.functions.times import ts_in_days
 from crashlake.operators import common as C
+from crashlake.operators.intervals import interval_join
 from crashlake.session import bounded_rows
 
 
+def _apart(rows: list) -> bool:
+    """Whether levels (value, low, high) in the order of their lower bounds do not overlap."""
+    return all(a[2] <= b[1] for a, b in zip(rows, rows[1:]))
+
+
 def uptime_level(df: DataFrame, levels: DataFrame, value: str = "uptime_level",
                  uptime: str = "uptime", inner: bool = True) -> DataFrame:
-    """Bucket of ``[min, max)`` that the uptime falls in.
+    """Bucket of ``[min, max)`` that the uptime falls in; a row for each where buckets overlap.
 
-    A short level table becomes one CASE expression; a longer one is range-joined to the
-    distinct uptimes, which then join the facts on equality.
+    A short table of buckets that lie apart becomes one CASE expression; any other is joined
+    by bins, with the same rows.
     """
-    cols = levels.select(value, "min_uptime", "max_uptime")
+    cols = levels.select(value, "min_uptime", "max_uptime").where("min_uptime < max_uptime")
     rows = bounded_rows(cols)
-    if rows is not None:
+    if rows is not None and _apart(rows := sorted(rows, key=lambda r: (r[1], r[2]))):
         level: Column | None = None
-        for v, low, high in sorted(rows, key=lambda r: r[1]):
+        for v, low, high in rows:
             hit = (F.col(uptime) >= low) & (F.col(uptime) < high)
             level = F.when(hit, F.lit(v)) if level is None else level.when(hit, F.lit(v))
         out = df.withColumn(value, F.lit(None) if level is None else level)
         return out.where(F.col(value).isNotNull()) if inner else out
-    seen = df.select(F.col(uptime).alias("_u")).distinct()
-    hits = seen.join(cols, (F.col("_u") >= F.col("min_uptime")) & (F.col("_u") < F.col("max_uptime"))) \
-        .select("_u", value)
-    return df.join(hits, df[uptime] == hits["_u"], "inner" if inner else "left").drop("_u")
+    joined = interval_join(df, cols, uptime, "min_uptime", "max_uptime", how="inner" if inner else "left")
+    return joined.drop("min_uptime", "max_uptime")
 
 
 def signature_counts(clean: DataFrame, product_versions: DataFrame, dim: str, start=None,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from crashlake.functions.times import seconds_between
 
@@ -58,6 +58,19 @@ COUNTER_LEVELS = (("minute", "yyyy-MM-dd'T'HH:mm"), ("hour", "yyyy-MM-dd'T'HH"),
                   ("day", "yyyy-MM-dd"), ("month", "yyyy-MM"), ("year", "yyyy"))
 
 
+def counter_names(verdict: str = "legacy_processing", process_type: str = "process_type",
+                  hang: str = "hang_id") -> Column:
+    """Names of the counters that a submission adds to."""
+    kind = F.coalesce(F.col(process_type), F.lit("default"))
+    special = kind != "default"
+    hung = special & F.col(hang).isNotNull()
+    return F.array_compact(F.array(
+        F.lit("submitted_crash_reports"),
+        F.concat(F.lit("submitted_crash_reports_legacy_throttle_"), F.col(verdict).cast("string")),
+        F.when(hung, F.lit("submitted_crash_report_hang_pairs"))
+        .when(special, F.concat(F.lit("submitted_oop_"), kind, F.lit("_crash_reports")))))
+
+
 def submission_counters(crashes: DataFrame, ts: str = "submitted_timestamp",
                         verdict: str = "legacy_processing", process_type: str = "process_type",
                         hang: str = "hang_id") -> DataFrame:
@@ -66,16 +79,8 @@ def submission_counters(crashes: DataFrame, ts: str = "submitted_timestamp",
     Minutes are counted first; the coarser levels are sums of minutes, so the facts are
     shuffled once and not once per level.
     """
-    kind = F.coalesce(F.col(process_type), F.lit("default"))
-    special = kind != "default"
-    hung = special & F.col(hang).isNotNull()
-    names = F.array_compact(F.array(
-        F.lit("submitted_crash_reports"),
-        F.concat(F.lit("submitted_crash_reports_legacy_throttle_"), F.col(verdict).cast("string")),
-        F.when(hung, F.lit("submitted_crash_report_hang_pairs"))
-        .when(special, F.concat(F.lit("submitted_oop_"), kind, F.lit("_crash_reports")))))
     minute = (crashes.select(F.date_trunc("minute", F.col(ts)).alias("_m"),
-                             F.explode(names).alias("counter"))
+                             F.explode(counter_names(verdict, process_type, hang)).alias("counter"))
               .groupBy("_m", "counter").agg(F.count(F.lit(1)).alias("_n")))
     keys = F.array(*[F.date_format("_m", fmt) for _, fmt in COUNTER_LEVELS])
     return (minute.select(F.explode(keys).alias("period"), "counter", "_n")

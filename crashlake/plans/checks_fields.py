@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from crashlake.functions import metrics as M, platforms as P, text as X, times as T, versions as V
 from crashlake.operators.counts import uptime_level
+from crashlake.operators.intervals import interval_join
+from crashlake.operators.patterns import ilike_join
 from crashlake.plans.registry import Context, query
 
 # one version text per event: plain, a1, a2, bN, esr, or a milestone
@@ -257,6 +259,48 @@ def _(c: Context):
         M.dominant_os(k, F.col("user_id"), F.lit(40)).alias("os"))
 
 
+_SPANS = """spans AS (SELECT event_id AS span_id, ts AS opens, ts + (CASE WHEN k = 0 THEN 1440 ELSE k % 10 * 7 END) * INTERVAL '1' MINUTE AS closes
+ FROM ev WHERE event_type IN ('signup', 'error'))
+"""
+
+
+@query("c5_interval_join", "WITH " + _SPANS + "SELECT uuid, span_id FROM reports JOIN spans ON date_processed >= opens AND date_processed < closes")
+def _(c: Context):
+    minutes = F.expr("CASE WHEN k = 0 THEN 1440 ELSE k % 10 * 7 END * INTERVAL '1' MINUTE")
+    spans = c.t("ev").where(F.col("event_type").isin("signup", "error")).select(
+        F.col("event_id").alias("span_id"), F.col("ts").alias("opens"), (F.col("ts") + minutes).alias("closes"))
+    return interval_join(c.t("reports"), spans, "date_processed", "opens", "closes").select("uuid", "span_id")
+
+
+@query("c6_lifetime_join", """SELECT e.event_id, l.event_id AS life_id FROM ev AS e JOIN ev AS l ON e.user_id = l.user_id AND l.k % 4 = 0
+ AND e.d BETWEEN l.d AND l.d + l.k % 12""")
+def _(c: Context):
+    lives = c.t("ev").where("k % 4 = 0").select("user_id", F.col("event_id").alias("life_id"), F.col("d").alias("born"),
+                                               F.date_add("d", F.col("k") % 12).alias("gone"))
+    points = c.t("ev").select("event_id", "user_id", "d")
+    return interval_join(points, lives, "d", "born", "gone", keys=("user_id",), closed=True).select("event_id", "life_id")
+
+
+_TEXTS = """texts AS (SELECT event_id, concat(event_type, '::', CAST(event_id AS STRING), '::u', CAST(user_id AS STRING), '::k', CAST(k AS STRING)) AS name FROM ev),
+likes AS (SELECT event_id AS rule_id, CASE k % 4 WHEN 0 THEN concat('%::U', CAST(user_id AS STRING), '::K', CAST(k AS STRING))
+  WHEN 1 THEN concat(upper(event_type), '::', substr(CAST(event_id AS STRING), 1, 3), '%') WHEN 2 THEN concat('%::', CAST(event_id % 1000 AS STRING), '::_%')
+  ELSE concat('%:u', CAST(user_id AS STRING), '_::k', CAST(k % 10 AS STRING), '%') END AS likes FROM ev WHERE k % 5 = 0)
+"""
+
+
+@query("c4_pattern_join", "WITH " + _TEXTS + "SELECT event_id, rule_id FROM texts JOIN likes ON name ILIKE likes")
+def _(c: Context):
+    text = lambda n: F.col(n).cast("string")
+    texts = c.t("ev").select("event_id", F.concat(F.col("event_type"), F.lit("::"), text("event_id"), F.lit("::u"), text("user_id"),
+                                                  F.lit("::k"), text("k")).alias("name"))
+    likes = (F.when(F.col("k") % 4 == 0, F.concat(F.lit("%::U"), text("user_id"), F.lit("::K"), text("k")))
+             .when(F.col("k") % 4 == 1, F.concat(F.upper("event_type"), F.lit("::"), F.substring(text("event_id"), 1, 3), F.lit("%")))
+             .when(F.col("k") % 4 == 2, F.concat(F.lit("%::"), (F.col("event_id") % 1000).cast("string"), F.lit("::_%")))
+             .otherwise(F.concat(F.lit("%:u"), text("user_id"), F.lit("_::k"), (F.col("k") % 10).cast("string"), F.lit("%"))))
+    rules = c.t("ev").where("k % 5 = 0").select(F.col("event_id").alias("rule_id"), likes.alias("likes"))
+    return ilike_join(texts, rules, "name", "likes").select("event_id", "rule_id")
+
+
 @query("c5_uptime_levels", "SELECT uuid, uptime_string FROM reports JOIN uptime_levels ON uptime >= min_uptime AND uptime < max_uptime")
 def _(c: Context):
     return uptime_level(c.t("reports"), c.t("uptime_levels"), "uptime_string").select("uuid", "uptime_string")

@@ -62,11 +62,17 @@ def _(c: Context):
     return exports.recent_days(c.t("reports"), 40).select("uuid", "day")
 
 
-@query("a12_sample_crashes")
+@query("a12_sample_crashes", "SELECT uuid FROM reports ORDER BY md5(concat('7|', uuid)), uuid LIMIT 200")
 def _(c: Context):
     return raw.sample_crashes(_stored(c), 200, seed=7).select("uuid")
 
 
+@query("a12_sample_by_day", """SELECT report_date AS submit_date, uuid FROM reports
+QUALIFY row_number() OVER (PARTITION BY report_date ORDER BY md5(concat('7|', uuid)), uuid) <= 20""", text=("submit_date",))
+def _(c: Context):
+    return raw.sample_by_day(_stored(c), 20, seed=7).select("submit_date", "uuid")
+
+
 @query("a13_scan_date", """SELECT uuid FROM reports WHERE report_date BETWEEN DATE '2024-01-01' AND DATE '2024-12-31'""")
 def _(c: Context):
     return raw.scan_date(_stored(c), "24", ordered=True).select("uuid")

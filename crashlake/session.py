@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rule and level tables up to this many rows become plain expressions.
@@ -21,12 +19,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is named."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    current = spark.sparkContext.getCheckpointDir()
-    return current or tempfile.mkdtemp(prefix="crashlake-ckpt-")
+    """The cluster's checkpoint folder; a part of the warehouse, which is shared too, where none is named."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

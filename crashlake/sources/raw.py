@@ -5,7 +5,7 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from crashlake.functions.times import ooid_date, uuid_to_date, with_ooid
 from crashlake.operators.rules import DISCARD, throttle
@@ -54,11 +54,31 @@ def scan_date(df: DataFrame, prefix: str, ordered: bool = False) -> DataFrame:
     return rows.orderBy("submitted_timestamp", "uuid") if ordered else rows
 
 
+def _drawn(seed: int) -> list[Column]:
+    """Order of a draw: the md5 of seed and id, which any engine computes alike."""
+    return [F.md5(F.concat(F.lit(f"{seed}|"), F.col("uuid"))), F.col("uuid")]
+
+
 def sample_crashes(df: DataFrame, n: int, dates: list | None = None, seed: int = 0) -> DataFrame:
-    """Uniform sample of n crashes of the given days, the same at every run of a seed."""
+    """Uniform sample of n crashes of the given days, the same at every run of a seed.
+
+    The n smallest by md5 are kept: every task keeps its own n, and those are merged.
+    """
     rows = df if dates is None else df.where(
         F.col("submit_date").isin([F.lit(d).cast("date") for d in dates]))
-    return rows.orderBy(F.xxhash64("uuid", F.lit(seed)), "uuid").limit(n)
+    return rows.orderBy(*_drawn(seed)).limit(n)
+
+
+def sample_by_day(df: DataFrame, n: int, day: str = "submit_date", seed: int = 0) -> DataFrame:
+    """Uniform sample of up to n crashes of every day, the same at every run of a seed.
+
+    Ids alone are ranked, and each task drops all but its n smallest of a day before they are
+    shuffled, so a day's task sees n ids for every task before it, not the day. The rows are
+    then found by a semi join on day and id.
+    """
+    rank = F.row_number().over(Window.partitionBy(day).orderBy(*_drawn(seed)))
+    ids = df.select(day, "uuid").withColumn("_rank", rank).where(F.col("_rank") <= n).select(day, "uuid")
+    return df.join(ids, [day, "uuid"], "left_semi")
 
 
 def export_for_ids(df: DataFrame, ids: DataFrame) -> DataFrame:
