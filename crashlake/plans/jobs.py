@@ -233,16 +233,9 @@ def _write_hours(w: Warehouse, name: str, df: DataFrame, start: dt.datetime,
     """Replace the hours of a step (at most 24), also those that have no rows any more."""
     hour = F.date_format("date_processed", "yyyyMMddHH").cast("int")
     week = F.to_date(F.date_trunc("week", F.col("date_processed")))
-    new = w.replace_partitions(name, df.withColumns({"week": week, "hour": hour}),
-                               ["week", "hour"], "hour")
-    monday = start.date() - dt.timedelta(days=start.weekday())
-    first, last = int(f"{start:%Y%m%d%H}"), int(f"{end - dt.timedelta(seconds=1):%Y%m%d%H}")
-    stored = w.read(name)
-    if stored is None:  # nothing was ever written: no file, so no table yet
-        return
-    old = stored.where((F.col("week") == F.lit(monday)) & F.col("hour").between(first, last))
-    stale = [r[0] for r in old.select("hour").distinct().collect() if str(r[0]) not in new]
-    w.drop_days(f"{name}/week={monday}", "hour", stale)
+    first, last = f"{start:%Y%m%d%H}", f"{end - dt.timedelta(seconds=1):%Y%m%d%H}"
+    w.replace(name, df.withColumns({"week": week, "hour": hour}), ["week", "hour"],
+              lambda at: first <= at["hour"] <= last)
 
 
 def clean_hours(w: Warehouse, start: dt.datetime, end: dt.datetime, hours: int = 1) -> int:
@@ -310,7 +303,7 @@ def reprocess(w: Warehouse, pick: Callable[[DataFrame], DataFrame],
     fixed = cut_lineage(again(rows))
     n = fixed.count()
     if n:
-        fixed.write.mode("append").parquet(w.path(out))
+        w.append(out, fixed)
     return n
 
 
