@@ -111,5 +111,5 @@ def query(name: str, oracle: str | None = None, text: tuple[str, ...] = ()):
 
 def load() -> None:
     """Import the modules that register queries."""
-    from crashlake.plans import (checks_fields, checks_marts, checks_reads,  # noqa: F401
+    from crashlake.plans import (checks_fields, checks_jobs, checks_marts, checks_reads,  # noqa: F401
                                  checks_sources, checks_sql, checks_streams, checks_text)

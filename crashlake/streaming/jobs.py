@@ -1,7 +1,8 @@
 """Structured Streaming forms of the continuous and hourly work.
 
 Every builder takes a streaming frame (or a batch one, in tests) and gives a frame or a
-started query. Event times are ``timestamp``; late rows are handled by watermarks.
+started query. Event times are ``timestamp``; late rows are handled by watermarks. Duplicates
+and hang pairs are in ``windows``, counters of all levels and pool members in ``states``.
 """
 
 from __future__ import annotations
@@ -13,28 +14,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from crashlake.operators.clean import Dims, build_reports_clean
-from crashlake.operators.duplicates import find_duplicates_sliding
 from crashlake.operators.processing import process_raw
 from crashlake.operators.rules import ESR_RULE, apply_rules, throttle
-from crashlake.operators.status import under_performing
 from crashlake.session import cut_lineage
 
 
-def submission_counts(crashes: DataFrame, ts: str = "submitted_timestamp", width: str = "1 minute",
-                      late: str = "2 hours") -> DataFrame:
-    """Counters per tumbling window by throttle class, process type and hang.
-
-    Coarser levels are sums of these; state is kept until the watermark passes a window.
-    """
-    kind = F.coalesce("process_type", F.lit("default"))
-    return (crashes.withWatermark(ts, late)
-            .groupBy(F.window(ts, width).alias("w"), F.col("legacy_processing"),
-                     kind.alias("process_type"), F.col("hang_id").isNotNull().alias("is_hang"))
-            .agg(F.count(F.lit(1)).alias("count"))
-            .select(F.col("w.start").alias("period"), "legacy_processing", "process_type",
-                    "is_hang", "count"))
-
-
 def recent_counts(events: DataFrame, minutes: int, member: str, ts: str = "ts",
                   duration: str = "duration", late: str = "10 minutes") -> DataFrame:
     """Count and mean duration of the last N minutes, moving by the minute."""
@@ -44,16 +28,6 @@ def recent_counts(events: DataFrame, minutes: int, member: str, ts: str = "ts",
             .select(F.col("w.end").alias("window_end"), member, "count", "mean_duration"))
 
 
-def watch_members(counts: DataFrame, member: str, sink: Callable[[DataFrame, int], None],
-                  checkpoint: str):
-    """After every batch, hand the under-performing members of the newest window to a sink."""
-    def each(batch: DataFrame, epoch: int) -> None:
-        newest = batch.agg(F.max("window_end")).scalar()
-        sink(under_performing(batch.where(F.col("window_end") == newest), member, "count"), epoch)
-    return (counts.writeStream.outputMode("update").foreachBatch(each)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-
-
 def processed(raw: DataFrame, rules: list | None = None) -> DataFrame:
     """Continuous raw -> processed transform; stateless, so any trigger will do."""
     return process_raw(apply_rules(raw, [ESR_RULE] if rules is None else rules))
@@ -68,24 +42,6 @@ def first_seen_only(reports: DataFrame, ts: str = "date_processed", late: str =
     return reports.withWatermark(ts, late).dropDuplicatesWithinWatermark(["uuid"])
 
 
-def paired_hangs(clean: DataFrame, late: str = "1 day") -> DataFrame:
-    """Browser and plugin reports of a hang within a day of each other."""
-    r = clean.where(F.coalesce("hang_id", F.lit("")) != "")
-    kind = F.lower("process_type")
-    b = (r.where((kind == "browser") & F.col("signature").startswith("hang | "))
-         .select("hang_id", F.col("uuid").alias("browser_uuid"),
-                 F.col("date_processed").alias("browser_ts"),
-                 F.col("signature").alias("browser_signature"))
-         .withWatermark("browser_ts", late))
-    p = (r.where(kind == "plugin")
-         .select(F.col("hang_id").alias("plugin_hang"), F.col("uuid").alias("plugin_uuid"),
-                 F.col("date_processed").alias("plugin_ts"),
-                 F.col("signature").alias("plugin_signature"))
-         .withWatermark("plugin_ts", late))
-    near = F.expr("browser_ts BETWEEN plugin_ts - INTERVAL 1 DAY AND plugin_ts + INTERVAL 1 DAY")
-    return p.join(b, (F.col("hang_id") == F.col("plugin_hang")) & near).drop("plugin_hang")
-
-
 def _start(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: str):
     return (df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
@@ -114,16 +70,6 @@ def _write_epoch(df: DataFrame, path: str, epoch: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("week", "epoch").parquet(path))
 
 
-def append_duplicates(reports: DataFrame, path: str, checkpoint: str):
-    """Duplicate links of every micro-batch, less those stored before."""
-    def each(batch: DataFrame, epoch: int) -> None:
-        if batch.isEmpty():
-            return
-        known = _stored(batch.sparkSession, path, batch, epoch)
-        _write_epoch(cut_lineage(find_duplicates_sliding(batch, known)), path, epoch)
-    return _start(reports, each, checkpoint)
-
-
 def append_clean(reports: DataFrame, dims: Dims, path: str, user_path: str, bad_path: str,
                  checkpoint: str):
     """Hourly cleaning of arriving reports: facts, user info and bad rows.

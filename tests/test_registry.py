@@ -14,7 +14,8 @@ QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 PART = ("b14_version_sort", "b36_b38_dump_signatures", "c12_g1_skip_done", "g1_reports_clean", "g8_product_adu",
         "g13_rank_compare", "g15_crashes_by_user_build", "g21_explosiveness", "g23_interesting_addons",
         "g29_bug_associations", "g31_c13_campaign_recipients", "h4_product_crash_ratio", "j1_search_hangs",
-        "j6_top_crashers", "a17_bad_json")
+        "j6_top_crashers", "a17_bad_json", "a12_sample_by_day", "c4_pattern_join", "k3_stream_lagging", "k8_stream_duplicates", "l12_sql_summary",
+        "l13_reprocess")
 
 
 @pytest.fixture(scope="module")

@@ -1,12 +1,16 @@
+import datetime as dt
 import json
+import random
+from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from crashlake.operators import duplicates
 from crashlake.operators.clean import build_reports_clean
-from crashlake.operators.status import under_performing
-from crashlake.streaming import jobs
+from crashlake.operators.status import submission_counters, under_performing
+from crashlake.streaming import jobs, states, windows
+from crashlake.streaming.replay import drain, heartbeat, replay, stream_folder
 
 
 @pytest.fixture(scope="module")
@@ -38,23 +42,97 @@ def same(a, b):
 
 def test_counters(spark, stored):
     s, b = stream(spark, stored[0])
-    got = run(jobs.submission_counts(s, "date_processed", "1 hour"), "k1", "complete")
-    same(got, jobs.submission_counts(b, "date_processed", "1 hour"))
+    kinds = b.withColumn("submitted_timestamp", F.col("date_processed"))
+    beaten = replay(kinds, "counted", "submitted_timestamp", batches=3)
+    got = drain(states.rolled_counters(beaten, late="60 days"), "counters").where("period < '2100'")
+    same(got, submission_counters(kinds))
 
 
-def test_sliding_counts_and_members(spark, stored, tmp_path):
+def test_sliding_counts(spark, stored):
     s, b = stream(spark, stored[0])
     make = lambda df: jobs.recent_counts(df, 30, "product", "date_processed", "uptime")
     same(run(make(s), "k2", "complete").drop("mean_duration"), make(b).drop("mean_duration"))
-    seen = []
-    q = jobs.watch_members(make(s), "product", lambda df, epoch: seen.append((epoch, df.collect())),
-                           str(tmp_path / "ck"))
-    q.awaitTermination()
-    assert len({e for e, _ in seen}) >= 3
     n = spark.createDataFrame([("a", 10), ("b", 10), ("c", 1)], "m string, n int")
     assert [r["m"] for r in under_performing(n, "m", "n").collect()] == ["c"]
 
 
+class Handle:
+    """Stands for the engine: one key's document and timers, and the watermark."""
+
+    def __init__(self, processor):
+        self.at, self.value, self.timers = 0, None, set()
+        processor.init(self)
+
+    def getValueState(self, name, schema):
+        return self
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def listTimers(self):
+        return iter(list(self.timers))
+
+    def deleteTimer(self, at):
+        self.timers.discard(at)
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.at
+
+
+def feed(processor, batches):
+    """Batches of (watermark minute, rows) -> everything a key gives; timers fire between batches."""
+    handle, out = Handle(processor), []
+    for until, rows in batches:
+        handle.at = until * states.MINUTE_MS
+        if rows:
+            out += processor.handleInputRows(("p",), iter([Row(**r) for r in rows]), handle)
+        elif any(t <= handle.at for t in handle.timers):
+            out += processor.handleExpiredTimer(("p",), handle, None)
+    return out, handle
+
+
+@pytest.mark.parametrize("width", [1, 7, 40])
+def test_lagging_members_at_every_minute(width):
+    """Silent members, idle stretches, late joiners: the batch rule at each minute, whatever the batches."""
+    rng = random.Random(width)
+    rows = [(rng.choice([m, m, 500 + m % 37, 900]), rng.choice("abcde" if m > 100 else "abc")) for m in range(300)]
+    counts = Counter(rows)
+    want = []
+    for end in range(min(m for m, _ in rows) + 1, 1500):
+        pool = {k for m, k in rows if m < end}
+        n = {k: sum(c for (m, who), c in counts.items() if who == k and end - width <= m < end) for k in pool}
+        s, q = sum(n.values()), sum(x * x for x in n.values())
+        want += [(end, k, x) for k, x in n.items() if s - len(n) * x > 0 and (s - len(n) * x) ** 2 > len(n) * q - s * s]
+    for cut in (1, 60, 400, 2000):
+        batches = []
+        for low in range(0, 1500, cut):
+            batches.append((low + cut, [{"minute": m, "member": k, "n": c} for (m, k), c in counts.items() if low <= m < low + cut]))
+        got, handle = feed(states._Pool(width), [*batches, (3000, [])])
+        assert sorted((r["end"], r["member"], r["count"]) for r in got) == sorted(want)
+        assert not json.loads(handle.value[0])["counts"] and not handle.timers
+    assert want
+
+
+def test_periods_come_out_once_when_they_are_over():
+    start = states._number(dt.datetime(2023, 12, 31, 23, 58))
+    rows = [{"minute": start + i, "n": i + 1} for i in range(4)]
+    got, handle = feed(states._Periods(), [(start + 1, rows[:1]), (start + 2, rows[1:2]), (start + 3, rows[2:]), (start + 4, []), (start + 60, [])])
+    shown = {r["period"]: r["count"] for r in got}
+    assert len(shown) == len(got)
+    assert shown == {"2023-12-31T23:58": 1, "2023-12-31T23:59": 2, "2023-12-31T23": 3, "2023-12-31": 3, "2023-12": 3, "2023": 3,
+                     "2024-01-01T00:00": 3, "2024-01-01T00:01": 4}
+    assert len(handle.timers) == 1 and set(json.loads(handle.value[0])) == {"2024-01-01T00", "2024-01-01", "2024-01", "2024"}
+
+
 def test_continuous_transform_and_throttle(spark, tmp_path):
     src = tmp_path / "raw"
     src.mkdir()
@@ -82,26 +160,38 @@ def test_late_and_repeated_ids(spark, stored, tmp_path):
     assert got.count() == r.count() == got.distinct().count()
 
 
-def test_hang_pairing(spark, stored):
-    s, b = stream(spark, stored[0])
-    got = run(jobs.paired_hangs(s, "20 days").select("browser_uuid", "plugin_uuid"), "k7", "append")
-    want = jobs.paired_hangs(b).select("browser_uuid", "plugin_uuid")
-    same(got, want)
-    assert not want.isEmpty()
-
-
-def test_duplicates_by_batch(spark, stored, tmp_path):
+def test_hang_sides(spark):
+    """One row a plugin report, paired or not; browser sides are the least of the day; a hot hang gives no pairs of pairs."""
+    day = dt.datetime(2024, 1, 3, 12)
+    side = lambda i, hang, kind, t=day, sig="hang | x": (i, t, hang, kind, sig, "11", "v1")
+    rows = [side("b2", "h1", "browser"), side("b1", "h1", "Browser", sig="hang | a"), side("p1", "h1", "plugin"), side("p2", "h1", "PLUGIN"),
+            side("p3", "h2", "plugin"), side("b3", "h3", "browser"), side("p4", "h3", "plugin", day + dt.timedelta(days=1)),
+            side("b4", "h4", "browser", sig="no hang"), side("p5", "h4", "plugin"), side("b5", "h5", "browser"), side("p6", "h5", "plugin"),
+            side("p7", "", "plugin"), side("p8", None, "plugin")] + [side(f"c{i}", "h6", "browser") for i in range(60)] + [side(f"q{i}", "h6", "plugin") for i in range(80)]
+    clean = spark.createDataFrame(rows, "uuid string, date_processed timestamp, hang_id string, process_type string, signature string, flash_version string, product_version_id string")
+    info = clean.where("uuid <> 'b5'").select("uuid", "date_processed", F.concat(F.lit("u"), "uuid").alias("url"))
+    out = drain(windows.hang_sides(replay(clean, "c", "date_processed", 2), replay(info, "i", "date_processed", 2), "60 days", salts=3), "sides")
+    got = Counter((r.plugin_uuid, r.browser_uuid, r.browser_signature, r.url) for r in out.collect())
+    want = [("p1", "b1", "hang | a", "ub1"), ("p2", "b1", "hang | a", "ub1")] + [(p, None, None, None) for p in ("p3", "p4", "p5", "p6")]
+    assert got == Counter(want + [(f"q{i}", "c0", "hang | x", "uc0") for i in range(80)])
+
+
+def test_duplicates_whatever_the_batches(spark, stored):
+    """Batches in the order of time with little delay, and batches of all times at once: the links of the whole table."""
     path, _ = stored
-    s, b = stream(spark, path)
-    copy = lambda df: df.select(
-        F.explode(F.array(F.col("uuid"), F.concat(F.lit("c"), "uuid"))).alias("uuid"),
-        *[c for c in df.columns if c != "uuid"])
-    q = jobs.append_duplicates(copy(s), str(tmp_path / "dups"), str(tmp_path / "ck"))
-    q.awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "dups")).select("uuid", "duplicate_of")
-    want = duplicates.find_duplicates_sliding(copy(b)).select("uuid", "duplicate_of")
-    assert got.count() == got.select("uuid").distinct().count()
-    assert got.select("uuid").exceptAll(want.select("uuid")).isEmpty() and not got.isEmpty()
+    _, b = stream(spark, path)
+    near = b.where("report_date <= '2024-01-06'")
+    copies = near.withColumn("uuid", F.explode(F.array(F.col("uuid"), F.concat(F.lit("c"), "uuid"))))
+    want = duplicates.find_duplicates_sliding(copies).select("uuid", "duplicate_of", "date_processed")
+    mixed = drain(windows.duplicate_links(replay(copies, "mixed", "date_processed", 2), "60 days", salts=2), "links")
+    same(windows.first_links(mixed).select(*want.columns), want)
+    folder = stream_folder(spark, "ordered")
+    for day in (("2024-01-01", "2024-01-03"), ("2024-01-04", "2024-01-05"), ("2024-01-06", "2024-01-06")):
+        copies.where(F.col("report_date").between(*day)).coalesce(1).write.mode("append").parquet(folder)
+    heartbeat(copies, "date_processed", "2024-03-01").write.mode("append").parquet(folder)
+    ordered = spark.readStream.schema(copies.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    same(windows.first_links(drain(windows.duplicate_links(ordered, "1 hour", salts=2), "links")).select(*want.columns), want)
+    assert not want.isEmpty()
 
 
 def test_hourly_append_is_idempotent(spark, events, stored, tmp_path):
