@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crashlake.llm.common import store, text_of, unused
+from crashlake.llm.common import store, text_of
 
 #: Words of a window for repeats; rules that reject at once.
 WINDOW, LEAST_WORDS, MOST_REPEAT = 8, 20, 30
@@ -23,7 +23,9 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     """Add n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words and base_failed.
 
     Windows of eight words are hashed by position; sorting (hash bits, position) longs puts
-    equal windows side by side, so a text costs n log n however often it repeats itself.
+    equal windows side by side, so a text costs n log n however often it repeats itself. The
+    bits that a position leaves to the hash are few in a long text, so the windows found are
+    sorted once more by all 64 bits.
     """
     text = text_of()
     lines = F.filter(F.split(text, "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
@@ -42,12 +44,16 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), (F.col("n_words") - WINDOW).cast("int")),
         lambda i: F.call_function("shiftleft", F.xxhash64(*[F.get("_hashes", i + k) for k in range(WINDOW)]), F.col("_bits"))
         .bitwiseOR(i.cast("long"))))).otherwise(F.array().cast("array<bigint>"))
-    step = step.withColumn("_windows", windows).drop("_hashes")
+    step = step.withColumn("_windows", windows)
     part = lambda x: F.call_function("shiftright", x, F.col("_bits"))
     twice = F.filter("_windows", lambda x, i: (part(F.get("_windows", i - 1)) == part(x))
                      | (part(F.get("_windows", i + 1)) == part(x)))
-    step = step.withColumn("_starts", F.sort_array(F.transform(
-        twice, lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1)))).drop("_windows")
+    place = lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bits")) - 1)
+    near = F.sort_array(F.transform(twice, lambda x: F.struct(
+        F.xxhash64(*[F.get("_hashes", place(x).cast("int") + k) for k in range(WINDOW)]).alias("h"), place(x).alias("p"))))
+    step = step.withColumn("_near", near).drop("_windows", "_hashes")
+    same = F.filter("_near", lambda x, i: (F.get("_near", i - 1)["h"] == x["h"]) | (F.get("_near", i + 1)["h"] == x["h"]))
+    step = step.withColumn("_starts", F.sort_array(F.transform(same, lambda x: x["p"]))).drop("_near")
     reach = F.aggregate("_starts", F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("end")),
                         lambda a, p: F.struct((a["sum"] + p + WINDOW - F.greatest(a["end"], p)).alias("sum"),
                                               (p + WINDOW).alias("end")), lambda a: a["sum"])
@@ -181,12 +187,11 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` that ``quality_report`` keeps.
 
-    Verdicts come back by doc_id, language, source and text hash, on which alone they depend.
+    Documents are written once beside their statistics and filtered where they lie, so their
+    texts are not shuffled.
     """
-    keys = ["doc_id", *KEYS, "text_key"]
-    own = dict(zip(keys, unused(docs, *[f"_{k}" for k in keys])))
-    bad = store(quality_report(docs).where("NOT kept").select(*own).distinct().withColumnsRenamed(own), "rejected")
-    same = F.xxhash64(text_of(docs.text)) == F.col(own["text_key"])
-    for k in keys[:-1]:
-        same &= docs[k].eqNullSafe(F.col(own[k]))
-    return docs.join(bad, same, "left_anti")
+    names = list(FLOORS)
+    own = docs.select(F.struct("*").alias("_doc"), *KEYS, "text")
+    rows = store(with_vectors(with_statistics(own)).select("_doc", *KEYS, "base_failed", *names), "judged")
+    estimates = robust_estimates(rows.where("NOT base_failed").select(*KEYS, *names))
+    return _verdict(rows, estimates, names).where("kept").select("_doc.*")
