@@ -19,6 +19,8 @@ PLACES, BANDS, ROWS = 1 << 22, 32, 5
 #: Further members of a band's largest component that the sets outside it are held against
 #: before the exact join.
 TURNS = 2
+#: Partners that a star's centre is sent to at once.
+STAR = 1000
 SKETCH = "doc_id long, text_key long, n_shingles long, set_id binary, bands array<long>"
 
 
@@ -90,15 +92,16 @@ def set_writer(words: int):
 
 def verifier(percent: int):
     def verify(batches):
-        """Keep pairs whose sets share at least ``percent`` hundredths of their union."""
+        """Members of stars, each star led by its centre, -> pairs that share ``percent`` hundredths of their union."""
+        name, left = None, np.zeros(0, np.uint64)
         for batch in batches:
-            keep, last, left = np.zeros(batch.num_rows, bool), None, np.zeros(0, np.uint64)
-            a, b = batch["sa"], batch["sb"]
+            keep, sets, centre, stars = np.zeros(batch.num_rows, bool), batch["shingles"], batch["centre"].to_pylist(), batch["a"].to_pylist()
             for i in range(batch.num_rows):
-                if last is None or not a[i].equals(last):
-                    last = a[i]
-                    left = np.frombuffer(last.as_buffer(), np.uint64)
-                right = np.frombuffer(b[i].as_buffer(), np.uint64)
+                right = np.frombuffer(sets[i].as_buffer(), np.uint64)
+                if centre[i]:
+                    name, left = stars[i], right.copy()
+                    continue
+                assert name == stars[i]
                 n, m = len(left), len(right)
                 if 100 * min(n, m) >= percent * max(n, m):
                     both = np.concatenate([left, right])
@@ -207,10 +210,20 @@ def _texts_of(source: DataFrame, holders: DataFrame, words: int) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    one = full.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb"))
-    two = full.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa"))
-    return (pairs.join(one, "b").join(two, "a").select("a", "b", "sa", "sb")
-            .mapInArrow(verifier(percent), "a binary, b binary"))
+    """The pairs (a, b) whose sets share enough, as stars around a.
+
+    The names that are asked for are written first: where they are few, Spark sends them to
+    the sets, and only sets that are asked for are moved. A centre goes once to each thousand of its
+    partners, which follow it, so a hot star is many tasks and its set is not repeated by pair.
+    """
+    pairs = store(pairs.distinct(), "pairs")
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(STAR)).cast("int").alias("parts"))
+    members = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", F.lit(False).alias("centre"))
+    centres = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("b"), F.lit(True).alias("centre"))
+    asked = store(members.unionByName(centres), "asked")
+    return (asked.join(full, F.col("b") == F.col("set_id")).select("a", "part", "b", "centre", "shingles")
+            .repartition("a", "part").sortWithinPartitions("a", "part", F.desc("centre"))
+            .select("a", "b", "centre", "shingles").mapInArrow(verifier(percent), "a binary, b binary"))
 
 
 def _prefix_pairs(open_sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
