@@ -1,6 +1,7 @@
 """Language, manifest and hard-negative operators against brute force, on small tables with awkward rows."""
 
 import hashlib
+import math
 import zlib
 from collections import Counter
 
@@ -8,7 +9,8 @@ import duckdb
 import numpy as np
 import pytest
 
-from crashlake.llm import languages, merkle, negatives, queries
+from crashlake.llm import chaining, languages, merkle, minhash, negatives, quality, queries
+from crashlake.llm.huffman import Code, code_lengths
 from test_corpus import SCHEMA, docs, empty, sentence, texts  # noqa: F401  (fixtures)
 
 
@@ -258,3 +260,106 @@ def test_same_rows_as_sql(spark, name):
     df = queries.QUERIES[name](spark, folder)
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLES[name]})").fetchall()
     assert Counter(map(tuple, df.collect())) == Counter(want) and want
+
+
+@pytest.mark.parametrize("counts,longest", [([5, 9, 12, 13, 16, 45], 16), ([1] * 7, 3), ([1, 1, 2, 3, 5, 8, 13, 21, 34], 4), ([100, 1, 1, 1, 1], 3)])
+def test_huffman_lengths_are_the_best_of_their_limit(counts, longest):
+    """Held against all non-increasing lengths that a prefix code of the limit can have."""
+    lengths = code_lengths(np.array(counts, np.int64), longest)
+    assert lengths.max() <= longest and sum(2.0 ** -int(n) for n in lengths) <= 1
+    order = sorted(counts, reverse=True)
+    best = [math.inf]
+
+    def walk(i, least, room, cost):
+        if cost >= best[0]:
+            return
+        if i == len(order):
+            best[0] = cost
+            return
+        for n in range(least, longest + 1):
+            if room >= (len(order) - i) * 0.5 ** longest and room >= 0.5 ** n:
+                walk(i + 1, n, room - 0.5 ** n, cost + n * order[i])
+    walk(0, 1, 1.0, 0)
+    assert int((lengths.astype(int) * np.array(counts)).sum()) == best[0]
+
+
+@pytest.mark.parametrize("symbols,n", [(1, 5), (2, 64), (3, 65), (300, 1), (300, 5000), (49152, 200_000)])
+def test_huffman_blocks_decode_to_what_was_packed(symbols, n):
+    rng = np.random.default_rng(symbols)
+    ids = np.minimum(rng.zipf(1.3, n) - 1, symbols - 1).astype(np.uint32)
+    code = Code(code_lengths(np.bincount(ids, minlength=symbols)))
+    raw, marks = code.pack(ids)
+    assert len(marks) == -(-n // 64) and len(raw) == -(-int(code.lengths[ids].sum()) // 8)
+    assert (code.unpack(raw, marks, n) == ids).all()
+    if n > 640:  # a reader starts at any checkpoint
+        tail = code.unpack(raw, marks, n)[640:]
+        skipped = int(marks[:10].sum())
+        whole = "".join(f"{b:08b}" for b in raw[skipped // 8:skipped // 8 + 200])[skipped % 8:]
+        want = "".join(f"{int(code.codes[i]):0{int(code.lengths[i])}b}" for i in tail[:40])
+        assert whole.startswith(want[:1000])
+
+
+def test_passages_that_earlier_documents_hold_in_parts(spark):
+    """Two texts share 60 words, and every word run of these is in an earlier text as well."""
+    shared = sentence(50, 60).split()
+    rows = [(i, " ".join([sentence(60 + i, 40), *shared[i * 3:i * 3 + 25], sentence(90 + i, 40)])) for i in range(12)]
+    rows += [(100, " ".join([sentence(31, 80), *shared, sentence(32, 30)])), (101, " ".join([sentence(33, 20), *shared, sentence(34, 70)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.other_id): (r.first_word, r.n_words, r.other_first, r.n_matched) for r in chaining.fuzzy_passages(df).collect()}
+    assert found == {(101, 100): (20, 60, 80, 60)}
+
+
+def test_passages_are_those_of_brute_force(spark):
+    """Verbatim and changed passages of random length between random texts, against all pairs word by word."""
+    rng = np.random.default_rng(12)
+    bodies = [sentence(200 + i, int(rng.integers(60, 160))).split() for i in range(40)]
+    planted = set()
+    for _ in range(25):
+        a, b = sorted(rng.choice(40, 2, replace=False).tolist())
+        n = int(rng.integers(45, 60))
+        start = int(rng.integers(0, len(bodies[a]) - n))
+        part = bodies[a][start:start + n].copy()
+        for k in range(12, n - 12, 17):
+            part[k] = "changed"
+        at = int(rng.integers(0, len(bodies[b])))
+        bodies[b] = bodies[b][:at] + part + bodies[b][at:]
+    texts_ = [" ".join(b) for b in bodies]
+
+    def shares(a, b):
+        """Whether 40 words in a row of a are found in b with at most four of them, none at an end, replaced."""
+        width = {}
+        for i in range(len(a)):
+            for j in range(len(b)):
+                if a[i] == b[j]:
+                    width.setdefault(i - j, []).append(i)
+        return any(s + 39 in hits and sum(s <= i < s + 40 for i in hits) >= 36 for hits in width.values() if len(hits) >= 36 for s in hits)
+    for i in range(40):
+        for j in range(i):
+            if shares(bodies[i], bodies[j]):
+                planted.add((i, j))
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    got = {(r.doc_id, r.other_id) for r in chaining.fuzzy_passages(df).collect()}
+    assert planted <= got and len(planted) >= 20
+    for i, j in got:  # what is found shares at least its least words
+        assert len(set(bodies[i]) & set(bodies[j])) >= 25
+
+
+def test_long_texts_have_no_false_repeats(spark):
+    """Few hash bits are left beside a place in a long text; the words decide."""
+    df = spark.range(1).selectExpr("array_join(transform(sequence(1, 400000), i -> concat('w', i)), ' ') AS text")
+    assert quality.with_statistics(df).select("n_repeat_words").first()[0] == 0
+    twice = df.selectExpr("concat(text, ' ', substring_index(text, ' ', 20)) AS text")
+    assert quality.with_statistics(twice).select("n_repeat_words").first()[0] == 40
+
+
+def test_stars_are_split_and_exact(spark, monkeypatch):
+    """A star of many partners goes to several tasks; the pairs are those of plain set arithmetic."""
+    monkeypatch.setattr(minhash, "STAR", 3)
+    rng = np.random.default_rng(3)
+    sets = {f"s{i:02d}".encode(): np.unique(rng.integers(0, 12, 10).astype(np.uint64)) for i in range(40)}
+    full = spark.createDataFrame([(bytearray(k), bytearray(v.tobytes())) for k, v in sets.items()], "set_id binary, shingles binary")
+    pairs = [(a, b) for a in list(sets)[:4] for b in sets if a != b] + [(list(sets)[0], list(sets)[1])]
+    df = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in pairs], "a binary, b binary")
+    got = {(bytes(r.a), bytes(r.b)) for r in minhash._verified(df, full, 60).collect()}
+    both = lambda a, b: (len(np.intersect1d(sets[a], sets[b])), len(np.union1d(sets[a], sets[b])))
+    assert got == {(a, b) for a, b in pairs if 100 * both(a, b)[0] >= 60 * both(a, b)[1]} and 0 < len(got) < len(set(pairs))
