@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from crashlake.llm import chaining, languages, merkle, minhash, negatives, quality, queries
+from crashlake.llm import chaining, languages, merkle, minhash, negatives, quality, queries, token_files
 from crashlake.llm.huffman import Code, code_lengths
 from test_corpus import SCHEMA, docs, empty, sentence, texts  # noqa: F401  (fixtures)
 
@@ -363,3 +363,15 @@ def test_stars_are_split_and_exact(spark, monkeypatch):
     got = {(bytes(r.a), bytes(r.b)) for r in minhash._verified(df, full, 60).collect()}
     both = lambda a, b: (len(np.intersect1d(sets[a], sets[b])), len(np.union1d(sets[a], sets[b])))
     assert got == {(a, b) for a, b in pairs if 100 * both(a, b)[0] >= 60 * both(a, b)[1]} and 0 < len(got) < len(set(pairs))
+
+
+def test_ids_of_odd_texts_are_the_tokenizer_s():
+    """Letters that lower to a letter and a mark, odd spaces, contractions, digits and marks, whole lines of new words."""
+    path = queries.public_tokenizers.path("word_bpe_49k.json")
+    rng = np.random.default_rng(4)
+    odd = ["", " ", "\x1c a\x1db", "İ.", "x\x0by\x0cz", "Hello, WORLD!!! don't", "ß É İ ſ ŉ ﬁ ǰ", "\x00a", "日本 語", "é 🙂🙂", "ᾳ ᾼ ǅ ʰ ª º"]
+    odd += ["".join(rng.choice(list("aB '!.,\t\n\xa0éİ9_-🙂ǅª"), rng.integers(0, 40))) for _ in range(500)]
+    odd += [sentence(1000 + i, 300) for i in range(5)]
+    encoder, tokenizer = token_files.Encoder(path, np.dtype("<u2")), token_files._tokenizer(path)
+    got = [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(odd)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in odd]
