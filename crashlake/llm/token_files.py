@@ -17,8 +17,6 @@ from crashlake.llm.huffman import BLOCK, Code, code_lengths
 
 #: Ids of a chunk, the row of a file that holds whole documents; words kept in a worker's memory.
 CHUNK, CACHED = 1 << 20, 600_000
-#: New words that are encoded as one line, and the mark of the tokens that end a word.
-LINE, WORD_END = 200, "</w>"
 #: White space to Python's split that is none to the tokenizer.
 ODD_SPACES = "\x1c\x1d\x1e\x1f"
 
@@ -40,49 +38,26 @@ class Encoder:
 
     def __init__(self, path: str, kind):
         self.tokenizer, self.kind, self.pieces, self.words = _tokenizer(path), kind, {}, {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _lines(self, words: list[str]) -> list[bytes]:
-        """Ids of words that are one word each to the tokenizer too: encoded a line at a time, and
-        cut after the ids that end a word. A line with another number of ends is encoded by word."""
-        lines, out = [words[i:i + LINE] for i in range(0, len(words), LINE)], []
-        for own, e in zip(lines, self.tokenizer.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
-            ids = np.array(e.ids, self.kind)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            if len(cuts) != len(own) or cuts[-1] != len(ids):
-                out += self._raw(own)
-                continue
-            raw, at = ids.tobytes(), 0
-            for cut in (cuts * self.kind.itemsize).tolist():
-                out.append(raw[at:cut])
-                at = cut
-        return out
-
     def _learn(self, new: set[str]) -> None:
         split = {}
         for p in new:
             core = p.rstrip(punctuation)
-            low = core.lower()
-            if low.isalpha():  # not so where a capital becomes a letter and a mark
-                split[p] = (low if core.isascii() else core, p[len(core):])
+            if core.lower().isalpha():  # a capital may become a letter and a mark
+                split[p] = (core.lower() if core.isascii() else core, p[len(core):])
             else:
                 split[p] = (p, "")
-        wanted = {w for pair in split.values() for w in pair if w}
-        if len(self.words) + len(wanted) > CACHED:
+        missing = list({w for pair in split.values() for w in pair if w and w not in self.words})
+        if len(self.words) + len(missing) > CACHED:
             self.words = {}
-        missing = wanted - self.words.keys()
-        plain = [w for w in missing if w.isalpha()]
-        other = [w for w in missing if not w.isalpha()]
-        self.words.update(zip(plain, self._lines(plain)))
-        self.words.update(zip(other, self._raw(other)))
+            missing = list({w for pair in split.values() for w in pair if w})
+        self.words.update(zip(missing, self._raw(missing)))
         self.words[""] = b""
-        words = self.words
-        self.pieces.update({p: words[a] + words[b] for p, (a, b) in split.items()})
+        for p, (a, b) in split.items():
+            self.pieces[p] = self.words[a] + self.words[b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [[] if any(c in t for c in ODD_SPACES) else t.split() for t in texts]
