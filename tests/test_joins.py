@@ -127,3 +127,14 @@ def test_registered_joins_have_no_nested_loop(spark):
     queries = entry_points.queries()
     for name in ("c4_pattern_join", "c5_interval_join", "c6_lifetime_join"):
         assert no_loop(queries[name](spark, "/root/testdata/sf0.001")), name
+
+
+def test_pairs_of_patterns_are_not_broadcast(spark):
+    """Repeated texts shrink on disk to less than a broadcast may have, and grow in the driver again."""
+    t = spark.createDataFrame([(i, f"http://host/{i % 90:03d}/x") for i in range(900)], "t long, name string")
+    r = spark.createDataFrame([(i, f"%/{i % 45:03d}/%") for i in range(200)], "r long, likes string")
+    got = ilike_join(t, r, "name", "likes")
+    text = plan(got)
+    assert got.count() == sum(1 for i in range(900) for j in range(200) if i % 90 == j % 45)
+    joins = [line for line in text.split("== Initial Plan ==")[0].splitlines() if "BroadcastHashJoin" in line]
+    assert not any(key in line for line in joins for key in ("_text", "_like")) and not any("_gram" in line and "Inner" in line for line in joins)
