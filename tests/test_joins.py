@@ -138,3 +138,17 @@ def test_pairs_of_patterns_are_not_broadcast(spark):
     assert got.count() == sum(1 for i in range(900) for j in range(200) if i % 90 == j % 45)
     joins = [line for line in text.split("== Initial Plan ==")[0].splitlines() if "BroadcastHashJoin" in line]
     assert not any(key in line for line in joins for key in ("_text", "_like")) and not any("_gram" in line and "Inner" in line for line in joins)
+
+
+@pytest.mark.parametrize("how,joins", [("inner", 1), ("left", 3)])
+def test_pairs_of_intervals_are_not_moved(spark, how, joins):
+    """Pairs may be as many as points times intervals: they come out of the last join, which tests the bounds."""
+    p = spark.createDataFrame([(i, i % 50) for i in range(400)], "p long, x long")
+    s = spark.createDataFrame([(i, i % 20, i % 20 + 30) for i in range(100)], "s long, a long, b long")
+    got = interval_join(p, s, "x", "a", "b", how=how)
+    steps = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in line]
+    assert len(steps) == joins and sum("Join Inner" in line and ">= a#" in line for line in steps) == 1
+    want = Counter((i, j) for i in range(400) for j in range(100) if j % 20 <= i % 50 < j % 20 + 30)
+    if how == "left":
+        want += Counter((i, None) for i in range(400) if i % 50 == 49)
+    assert Counter((r.p, r.s) for r in got.collect()) == want
