@@ -203,3 +203,21 @@ def test_hourly_append_is_idempotent(spark, events, stored, tmp_path):
     want = build_reports_clean(b, events.dims)
     clean = spark.read.parquet(paths[0])
     assert clean.count() == want.clean.count() == clean.select("uuid").distinct().count()
+
+
+def test_a_batch_is_dealt_over_the_cluster(spark):
+    """Files, and so tasks that write and read, grow with the partitions of the shuffles, batches do not."""
+    rows = spark.range(1000).select(F.col("id").cast("string").alias("uuid"), F.timestamp_seconds("id").alias("ts"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "10")
+        made = replay(rows, "dealt", "ts", batches=3)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(stream_folder(spark, "x")).getParent()
+    dealt = [f.getPath() for f in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder) if f.getPath().getName().startswith("dealt-")]
+    files = spark.read.schema(rows.schema).parquet(*[str(p) for p in dealt])
+    assert len(files.inputFiles()) == 12 + 1
+    query = made.writeStream.format("memory").queryName("dealt").outputMode("append").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("dealt").count() == 1001 and len([p for p in query.recentProgress if p["numInputRows"]]) == 4  # and the heartbeat
