@@ -8,6 +8,7 @@ and hang pairs are in ``windows``, counters of all levels and pool members in ``
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -47,7 +48,12 @@ def _start(df: DataFrame, each: Callable[[DataFrame, int], None], checkpoint: st
             .trigger(availableNow=True).start())
 
 
-def _stored(spark: SparkSession, path: str, batch: DataFrame, epoch: int) -> DataFrame | None:
+def _epoch(checkpoint: str, epoch: int) -> str:
+    """Name of a batch that no other stream into the same folder uses: every checkpoint counts from 0."""
+    return f"run{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}-{epoch}"
+
+
+def _stored(spark: SparkSession, path: str, batch: DataFrame, epoch: str) -> DataFrame | None:
     """Rows of earlier batches within a day of this one; None before the first batch.
 
     Rows of the same epoch are those of a failed attempt, which is about to be replaced.
@@ -63,7 +69,7 @@ def _stored(spark: SparkSession, path: str, batch: DataFrame, epoch: int) -> Dat
         & F.col("date_processed").between(F.lit(low - day), F.lit(high + day)))
 
 
-def _write_epoch(df: DataFrame, path: str, epoch: int) -> None:
+def _write_epoch(df: DataFrame, path: str, epoch: str) -> None:
     """Replace what this epoch wrote before: a repeated batch leaves the same rows."""
     week = F.to_date(F.date_trunc("week", F.col("date_processed")))
     (df.withColumns({"week": week, "epoch": F.lit(epoch)}).write.mode("overwrite")
@@ -74,15 +80,18 @@ def append_clean(reports: DataFrame, dims: Dims, path: str, user_path: str, bad_
                  checkpoint: str):
     """Hourly cleaning of arriving reports: facts, user info and bad rows.
 
-    Ids that are stored already are skipped, so that reports sent twice count once.
+    Ids that are stored already are skipped, so that reports sent twice count once, also by a
+    stream with another checkpoint, whatever its batches hold.
     """
-    def each(batch: DataFrame, epoch: int) -> None:
+    def each(batch: DataFrame, number: int) -> None:
         if batch.isEmpty():
             return
+        epoch = _epoch(checkpoint, number)
         done = _stored(batch.sparkSession, path, batch, epoch)
         out = build_reports_clean(batch.dropDuplicates(["uuid"]), dims, done)
         out.staged = cut_lineage(out.staged)
         _write_epoch(out.clean, path, epoch)
         _write_epoch(out.user_info, user_path, epoch)
-        _write_epoch(out.bad, bad_path, epoch)
+        told = _stored(batch.sparkSession, bad_path, batch, epoch)
+        _write_epoch(out.bad if told is None else out.bad.join(told.select("uuid"), "uuid", "left_anti"), bad_path, epoch)
     return _start(reports, each, checkpoint)

@@ -221,3 +221,17 @@ def test_a_batch_is_dealt_over_the_cluster(spark):
     query = made.writeStream.format("memory").queryName("dealt").outputMode("append").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("dealt").count() == 1001 and len([p for p in query.recentProgress if p["numInputRows"]]) == 4  # and the heartbeat
+
+
+def test_a_second_stream_with_other_batches_loses_nothing(spark, events, stored, tmp_path):
+    """Its first batch holds a part of the first one's and more: stored rows stay."""
+    _, r = stored
+    days = [("2024-01-01", "2024-01-04"), ("2024-01-05", "2024-01-12")], [("2024-01-03", "2024-01-12"), ("2024-01-01", "2024-01-02")]
+    paths = [str(tmp_path / n) for n in ("clean", "info", "bad")]
+    for i, order in enumerate(days):
+        for low, high in order:
+            r.where(F.col("report_date").between(low, high)).coalesce(1).write.mode("append").parquet(str(tmp_path / f"in{i}"))
+        jobs.append_clean(stream(spark, str(tmp_path / f"in{i}"))[0], events.dims, *paths, str(tmp_path / f"run{i}")).awaitTermination()
+    want = build_reports_clean(r, events.dims)
+    for path, df in zip(paths, (want.clean, want.user_info, want.bad)):
+        assert sorted(x.uuid for x in spark.read.parquet(path).select("uuid").collect()) == sorted(x.uuid for x in df.select("uuid").collect())
