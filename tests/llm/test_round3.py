@@ -309,6 +309,29 @@ def test_passages_that_earlier_documents_hold_in_parts(spark):
     assert found == {(101, 100): (20, 60, 80, 60)}
 
 
+def test_passages_of_seeds_in_many_places(spark):
+    """As above, with every seed in more places than are paired, the first ones in texts that share too little; equal texts meet by their first."""
+    shared = sentence(50, 60).split()
+    rows = [(i, " ".join([sentence(160 + i, 40), *shared[i % 12 * 3:i % 12 * 3 + 25], sentence(290 + i, 40)])) for i in range(120)]
+    rows += [(200, " ".join([sentence(31, 80), *shared, sentence(32, 30)])), (201, " ".join([sentence(33, 20), *shared, sentence(34, 70)]))]
+    rows += [(300 + i, rows[-1][1]) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {(r.doc_id, r.other_id): (r.first_word, r.n_words, r.other_first, r.n_matched) for r in chaining.fuzzy_passages(df).collect()}
+    assert found[(201, 200)] == (20, 60, 80, 60)
+    assert all(found[(300 + i, 201)] == (0, 150, 0, 150) for i in range(12))
+
+
+def test_anchors_of_two_texts_are_those_of_all_matches(monkeypatch):
+    rng = np.random.default_rng(8)
+    a, b = rng.integers(0, 5, 60), rng.integers(0, 5, 50)
+    y, x = np.nonzero(a[:, None] == b[None, :])
+    want = chaining.anchors(y, x)
+    for at_once in (1, 7, 1000):
+        monkeypatch.setattr(chaining, "AT_ONCE", at_once)
+        got = chaining.common(a, np.arange(60), b, np.arange(50))
+        assert all((g == w).all() for g, w in zip(got, want))
+
+
 def test_passages_are_those_of_brute_force(spark):
     """Verbatim and changed passages of random length between random texts, against all pairs word by word."""
     rng = np.random.default_rng(12)
