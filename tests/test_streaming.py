@@ -194,6 +194,16 @@ def test_duplicates_whatever_the_batches(spark, stored):
     assert not want.isEmpty()
 
 
+def test_small_groups_are_not_dealt_to_all_salts(spark):
+    """A leader meets the salts that its group's rows have, and no others."""
+    rows = spark.range(300).select(F.when(F.col("id") < 200, 0).otherwise(F.col("id")).alias("key"), F.col("id").cast("string").alias("uuid"))
+    rows = rows.unionByName(rows.where("key > 0").withColumn("uuid", F.concat(F.lit("c"), "uuid"))).withColumn("_salt", windows._salt(16))
+    leaders = windows._dealt(rows.groupBy("key").agg(windows._bits(F.col("_salt")).alias("_bits")), 16)
+    got = [tuple(r) for r in leaders.select("key", "_salt").collect()]
+    assert sorted(got) == sorted(tuple(r) for r in rows.select("key", "_salt").distinct().collect())
+    assert len([k for k, _ in got if k == 0]) == 16 and len(got) <= 16 + 2 * 100
+
+
 def test_hourly_append_is_idempotent(spark, events, stored, tmp_path):
     path, _ = stored
     s, b = stream(spark, path)
