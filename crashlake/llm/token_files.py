@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 import zlib
 from functools import cache
-from itertools import chain
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from crashlake.llm.common import shared_path, ship, store, text_of
@@ -17,8 +17,8 @@ from crashlake.llm.huffman import BLOCK, Code, code_lengths
 
 #: Ids of a chunk, the row of a file that holds whole documents; words kept in a worker's memory.
 CHUNK, CACHED = 1 << 20, 600_000
-#: White space to Python's split that is none to the tokenizer.
-ODD_SPACES = "\x1c\x1d\x1e\x1f"
+#: New words that the tokenizer is given as one line; bytes of texts whose pieces are looked up together.
+LINE, TOGETHER = 32, 1 << 23
 
 
 @cache
@@ -29,45 +29,89 @@ def _tokenizer(path: str):
 
 
 class Encoder:
-    """Ids of texts by a word-level tokenizer, each distinct word encoded once while it is kept.
+    """Ids of texts by a tokenizer that splits at white space, each distinct word encoded once while it is kept.
 
     The tokenizer never joins text across white space, so a text's ids are those of its pieces.
-    A piece of letters with trailing ASCII punctuation is two words to it. The memory of both
-    tables is bounded: they start anew when full.
+    Arrow cuts texts into pieces and puts their ids in the place of each; Python sees a piece once
+    a batch. A piece of letters with trailing ASCII punctuation is two words to the tokenizer.
+    New words of letters alone go to it a line at a time, and their ids are told apart by the last
+    token of each, which names the word's end; a line where that count is another goes word by word.
+    The memory of both tables is bounded: they start anew when full.
     """
 
     def __init__(self, path: str, kind):
-        self.tokenizer, self.kind, self.pieces, self.words = _tokenizer(path), kind, {}, {}
+        self.tokenizer, self.kind, self.pieces, self.words = _tokenizer(path), np.dtype(kind), {}, {}
+        vocabulary, suffix = self.tokenizer.get_vocab(with_added_tokens=True), getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, new: set[str]) -> None:
-        split = {}
-        for p in new:
-            core = p.rstrip(punctuation)
-            if core.lower().isalpha():  # a capital may become a letter and a mark
-                split[p] = (core.lower() if core.isascii() else core, p[len(core):])
-            else:
-                split[p] = (p, "")
-        missing = list({w for pair in split.values() for w in pair if w and w not in self.words})
-        if len(self.words) + len(missing) > CACHED:
+        return [np.array(ids, self.kind).tobytes() for ids in self._ids(texts)]
+
+    def _lines(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are letters alone."""
+        out, size = [], self.kind.itemsize
+        for low in range(0, len(words), 1 << 16):
+            lines = [words[i:i + LINE] for i in range(low, min(len(words), low + (1 << 16)), LINE)]
+            for line, ids in zip(lines, self._ids([" ".join(line) for line in lines])):
+                ids = np.array(ids, self.kind)
+                cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+                if len(cuts) == len(line) and cuts[-1] == len(ids):
+                    raw = ids.tobytes()
+                    out += [raw[size * a:size * b] for a, b in zip([0, *cuts], cuts)]
+                else:
+                    out += self._raw(line)
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        # two lists and no pairs: the collector would follow every pair again and again
+        cores, tails = [p.rstrip(punctuation) for p in new], [""] * len(new)
+        for i, (p, core) in enumerate(zip(new, cores)):
+            low = core.lower()
+            if not low.isalpha():  # a capital may become a letter and a mark
+                cores[i] = p
+                continue
+            if core.isascii():
+                cores[i] = low
+            if len(core) < len(p):
+                tails[i] = p[len(core):]
+        wanted = {*cores, *tails} - {""}
+        if len(self.words) + len(wanted) > CACHED:
             self.words = {}
-            missing = list({w for pair in split.values() for w in pair if w})
-        self.words.update(zip(missing, self._raw(missing)))
+        missing = wanted - self.words.keys()
+        letters = [w for w in missing if w.isalpha() and w.lower().isalpha()]
+        others = list(missing.difference(letters))
+        self.words.update(zip(letters, self._lines(letters)))
+        self.words.update(zip(others, self._raw(others)))
         self.words[""] = b""
-        for p, (a, b) in split.items():
-            self.pieces[p] = self.words[a] + self.words[b]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        parts = [[] if any(c in t for c in ODD_SPACES) else t.split() for t in texts]
+        words = self.words
+        self.pieces.update(zip(new, [words[a] + words[b] if b else words[a] for a, b in zip(cores, tails)]))
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and the offsets of each."""
+        split = pc.ascii_split_whitespace(texts)
+        at = split.offsets.to_numpy().astype(np.int64)
+        coded = split.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        pieces = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.pieces) > CACHED:
             self.pieces = {}
-        new = set(chain.from_iterable(parts)) - self.pieces.keys()
+        new = [p for p in pieces if p not in self.pieces]
         if new:
             self._learn(new)
-        known = self.pieces.__getitem__
-        return [b"".join(map(known, p)) if p else (self._raw([t])[0] if t else b"") for p, t in zip(parts, texts)]
+        values = pa.array([self.pieces[p] for p in pieces], pa.large_binary()).take(coded.indices)
+        if not len(values):
+            return np.zeros(0, self.kind), np.zeros(len(texts) + 1, np.int64)
+        _, offsets, data = values.buffers()
+        ends = np.frombuffer(offsets, np.int64)[values.offset:values.offset + len(values) + 1]
+        ids = np.frombuffer(data, self.kind, int(ends[-1]) // self.kind.itemsize) if ends[-1] else np.zeros(0, self.kind)
+        return ids, ends[at - at[0]] // self.kind.itemsize
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        ids, at = self.encode_array(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in zip(at.tolist(), at[1:].tolist())]
 
 
 @cache
@@ -82,13 +126,27 @@ def id_kind(vocabulary: int):
 
 def _encode(path: str, end: int, kind):
     def encode(batches):
-        encoder, seq = _encoder(path, kind.str), 0
-        tail = np.array([end], kind).tobytes()
+        encoder, seq, held = _encoder(path, kind.str), 0, []
+
+        def flush():
+            rows = pa.Table.from_batches(held).combine_chunks()
+            ids, at = encoder.encode_array(pa.concat_arrays(rows["text"].chunks))
+            n = len(at) - 1
+            ended = np.insert(ids, at[1:], end).astype(kind)
+            ends = ((at + np.arange(n + 1)) * kind.itemsize).astype(np.int32)
+            packed = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(ended.tobytes())])
+            return pa.record_batch([rows["part"].combine_chunks(), pa.array(np.arange(seq, seq + n)), rows["doc_id"].combine_chunks(), packed],
+                                   ["part", "seq", "doc_id", "ids"])
+
         for batch in batches:
-            ids = [x + tail for x in encoder.encode(batch["text"].to_pylist())]
-            yield pa.record_batch([batch["part"], pa.array(np.arange(seq, seq + len(ids))), batch["doc_id"], pa.array(ids, pa.binary())],
-                                  ["part", "seq", "doc_id", "ids"])
-            seq += len(ids)
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= TOGETHER:
+                yield flush()
+                seq, held = seq + sum(b.num_rows for b in held), []
+        if held:
+            yield flush()
     return encode
 
 
@@ -96,8 +154,8 @@ def _count(vocabulary: int, kind):
     def count(batches):
         sums = np.zeros(vocabulary, np.int64)
         for batch in batches:
-            for low in range(0, batch.num_rows, 50):
-                joined = b"".join(batch["ids"][low:low + 50].to_pylist())
+            for low in range(0, batch.num_rows, 250):
+                joined = b"".join(batch["ids"][low:low + 250].to_pylist())
                 sums += np.bincount(np.frombuffer(joined, kind), minlength=vocabulary)
         used = np.flatnonzero(sums)
         yield pa.record_batch([pa.array(used), pa.array(sums[used])], ["id", "n"])

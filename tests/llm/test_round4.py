@@ -1,9 +1,11 @@
 """What the corpus operators keep on disk and how often they compute a thing."""
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import pytest
 
-from crashlake.llm import suffixes
+from crashlake.llm import suffixes, token_files
 
 
 def test_suffix_order_writes_no_files(monkeypatch):
@@ -35,3 +37,29 @@ def test_known_stretches_go_on_together():
     batch = suffixes._note(kinds(1, range(40)))
     for step in (suffixes._answer_anchors(4), suffixes._judge_segments(4)):
         assert sum(b.num_rows for b in step(iter([batch]))) == 4
+
+
+class Counted:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.n, self.model = tokenizer, 0, tokenizer.model
+
+    def encode_batch_fast(self, texts, **more):
+        self.n += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+
+@pytest.mark.parametrize("ends_known", [True, False])
+def test_new_words_are_encoded_by_the_line(ends_known):
+    """One call for a line of new words; where the ends of words are not known, word by word, with the same ids."""
+    rng = np.random.default_rng(9)
+    words = ["".join(rng.choice(list("abcdeföéß"), 7)) for _ in range(320)]
+    texts = [" ".join(words), "", " \t".join(words[:50]) + ", ", "a\x1cb c\u2028d 1st it's", f"{words[3]}!!\n{words[4].upper()}"]
+    encoder = token_files.Encoder(public_tokenizers.path("word_bpe_49k.json"), np.dtype("<u2"))
+    plain, counted = encoder.tokenizer, Counted(encoder.tokenizer)
+    encoder.tokenizer = counted
+    if not ends_known:
+        encoder.ends[:] = False
+    assert encoder.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert (counted.n < 40) == ends_known
