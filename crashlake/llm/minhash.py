@@ -21,6 +21,8 @@ PLACES, BANDS, ROWS = 1 << 22, 32, 5
 TURNS = 2
 #: Partners that a star's centre is sent to at once.
 STAR = 1000
+#: Words of 64 bits in the table that tells which documents are surely not asked for.
+WORDS = 1 << 18
 SKETCH = "doc_id long, text_key long, n_shingles long, set_id binary, bands array<long>"
 
 
@@ -186,9 +188,12 @@ def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) ->
     first = rows.groupBy("label").agg(F.min(order).alias("f")).select("label", F.col("f.doc_id").alias("_id"), F.col("f.text_key").alias("_key"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key"))
     marked = rows.join(first, "label").withColumn("same", same)
-    i, k = unused(docs, "_id", "_key")
-    gone = store(marked.where("NOT same").select(F.col("doc_id").alias(i), F.col("text_key").alias(k)).distinct(), "gone")
-    left = docs.join(gone, docs.doc_id.eqNullSafe(F.col(i)) & (F.xxhash64(text_of(docs.text)) == F.col(k)), "left_anti")
+    i, k, own, key = unused(docs, "_id", "_key", "_own", "_own_key")
+    gone = store(marked.where("NOT same").select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct(), "gone")
+    keyed = docs.withColumns({own: F.col("doc_id").cast("long"), key: F.xxhash64(text_of(docs.text))})
+    maybe, sure = _maybe(keyed, gone, own, key)
+    gone = gone.toDF(i, k)
+    left = sure.unionByName(maybe.join(gone, F.col(own).eqNullSafe(F.col(i)) & (F.col(key) == F.col(k)), "left_anti")).drop(own, key)
     if marked.where("same").groupBy("label").count().where("count > 1").isEmpty():
         return left
     named = left.withColumn(k, F.xxhash64(text_of("text")))
@@ -202,9 +207,29 @@ def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
                  .select("band", "set_id", F.coalesce("label", "set_id").alias("label")), "named")
 
 
+def _maybe(rows: DataFrame, keys: DataFrame, doc_id: str, text_key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of which the keys (_id, _key) may hold the document, and those of which they surely do not.
+
+    A bit is set for the hash of each key. The table of bits has at most ``WORDS`` rows, so it is sent to
+    the rows however many keys there are, and texts that nobody asks for are not moved to be
+    joined. An exact join on the first part has to follow.
+    """
+    place = lambda a, b: f"xxhash64({a}, {b})"
+    word = lambda h: F.expr(f"pmod(shiftrightunsigned({h}, 6), {WORDS})")
+    bit = lambda h: f"CAST({h} & 63 AS INT)"
+    own, asked = place(doc_id, text_key), place("_id", "_key")
+    w, bits = unused(rows, "_word", "_bits")
+    table = store(keys.groupBy(word(asked).alias(w)).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit(asked)})")).alias(bits)), "bits")
+    marked = rows.join(F.broadcast(table), word(own) == F.col(w), "left")
+    held = F.expr(f"coalesce(shiftright({bits}, {bit(own)}) & 1, 0L)") == 1
+    return marked.where(held).drop(w, bits), marked.where(~held).drop(w, bits)
+
+
 def _texts_of(source: DataFrame, holders: DataFrame, words: int) -> DataFrame:
     """set_id and its shingles, computed from the text of one document that has the set."""
-    texts = (source.join(holders, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
+    holders = store(holders, "holders")
+    asked, _ = _maybe(source, holders, "doc_id", "text_key")
+    texts = (asked.join(holders, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
              .select("set_id", "text"))
     return texts.mapInArrow(set_writer(words), "set_id binary, shingles binary").dropDuplicates(["set_id"])
 

@@ -5,7 +5,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from crashlake.llm import suffixes, token_files
+from crashlake.llm import minhash, suffixes, token_files
 
 
 def test_suffix_order_writes_no_files(monkeypatch):
@@ -63,3 +63,12 @@ def test_new_words_are_encoded_by_the_line(ends_known):
         encoder.ends[:] = False
     assert encoder.encode(texts) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
     assert (counted.n < 40) == ends_known
+
+
+def test_texts_that_nobody_asks_for_are_not_joined(spark):
+    """The bits keep every document that is asked for, null ids among them, and few others."""
+    rows = spark.range(2000).selectExpr("IF(id = 5, NULL, id) AS doc_id", "xxhash64(id) AS text_key", "concat('text ', id) AS text", "id AS _word")
+    keys = rows.where("_word % 50 = 5").selectExpr("doc_id AS _id", "text_key AS _key")
+    maybe, sure = minhash._maybe(rows, keys, "doc_id", "text_key")
+    assert maybe.columns == rows.columns == sure.columns and maybe.count() + sure.count() == 2000
+    assert sure.where("_word % 50 = 5").isEmpty() and 40 <= maybe.count() < 60
