@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from crashlake.llm.common import WORD, ship, store, text_of, unused
+from crashlake.llm.common import WORD, maybe_asked, ship, store, text_of, unused
 from crashlake.llm.components import components
 from crashlake.llm.words import grams, mix, slices, word_hashes
 
@@ -21,8 +21,6 @@ PLACES, BANDS, ROWS = 1 << 22, 32, 5
 TURNS = 2
 #: Partners that a star's centre is sent to at once.
 STAR = 1000
-#: Words of 64 bits in the table that tells which documents are surely not asked for.
-WORDS = 1 << 18
 SKETCH = "doc_id long, text_key long, n_shingles long, set_id binary, bands array<long>"
 
 
@@ -123,7 +121,8 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     Rows of equal sets collapse to one set first, so exact copies cost one row. Sets that share
     a band go in a star around the one that shares most bands, verified on full sets; then the
-    sets outside a band's largest component are held against a few more of its members. Only
+    sets outside a band's largest component are held against a few more of its members. A member
+    that has met all others of the band that are not of its component leaves the band. Only
     bands that still hold several components go on, to an exact prefix-filtered join:
     a set's rarest shingles, as many as any partner must meet, are joined, and each group sends
     the sets outside its largest component against the rest. So a group of near copies costs a
@@ -142,19 +141,16 @@ def near_groups(docs: DataFrame, words: int, percent: int) -> DataFrame:
     full = store(_texts_of(source, holders, words), "sets")
 
     heads = members.join(weight, "set_id").groupBy("band").agg(F.max_by("set_id", F.struct("weight", "set_id")).alias("a"))
-    stars = members.join(heads, "band").where("set_id <> a").select("a", F.col("set_id").alias("b")).distinct()
-    links = store(_verified(stars, full, percent), "links")
-    named = _named(members, components(links))
+    around = store(members.join(heads, "band").where("set_id <> a"), "around")
+    links = store(_verified(around.select("a", F.col("set_id").alias("b")), full, percent), "links")
+    named = _named(around.where("k > 2"), components(links))
     for turn in range(TURNS):
-        sides = named.groupBy("band", "label").agg(F.count("*").alias("k"), F.max_by("set_id", F.xxhash64("set_id", F.lit(turn))).alias("a"))
-        main = (sides.groupBy("band").agg(F.max_by(F.struct("label", "a"), F.struct("k", "label")).alias("m"), F.count("*").alias("labels"))
-                .where("labels > 1").select("band", "m.*").withColumnRenamed("label", "main"))
-        pairs = named.join(main, "band").where("label <> main").select("a", F.col("set_id").alias("b")).distinct()
-        links = links.unionByName(store(_verified(pairs, full, percent), "links"))
-        named = _named(members, components(links))
+        apart, pairs = _turn(named, turn)
+        links = links.unionByName(store(_verified(pairs, full, percent, few=True), "links"))
+        named = _named(apart, components(links))
     mixed = named.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("band")
     open_sets = store(named.join(mixed, "band").select("set_id", "label").distinct(), "open-sets")
-    more = store(_verified(_prefix_pairs(open_sets, full, percent), full, percent), "more-links")
+    more = store(_verified(_prefix_pairs(open_sets, full, percent), full, percent, few=True), "more-links")
     label = components(links.unionByName(more))
 
     return (sketches.join(label, sketches.set_id == label.node, "left")
@@ -207,22 +203,21 @@ def _named(members: DataFrame, labels: DataFrame) -> DataFrame:
                  .select("band", "set_id", F.coalesce("label", "set_id").alias("label")), "named")
 
 
-def _maybe(rows: DataFrame, keys: DataFrame, doc_id: str, text_key: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of which the keys (_id, _key) may hold the document, and those of which they surely do not.
+def _turn(named: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
+    """Members of bands with several components but one of the largest, and the pairs of that one and the sets outside its component.
 
-    A bit is set for the hash of each key. The table of bits has at most ``WORDS`` rows, so it is sent to
-    the rows however many keys there are, and texts that nobody asks for are not moved to be
-    joined. An exact join on the first part has to follow.
+    With these pairs the one has met all that the band may still link it to, so it is left out.
     """
-    place = lambda a, b: f"xxhash64({a}, {b})"
-    word = lambda h: F.expr(f"pmod(shiftrightunsigned({h}, 6), {WORDS})")
-    bit = lambda h: f"CAST({h} & 63 AS INT)"
-    own, asked = place(doc_id, text_key), place("_id", "_key")
-    w, bits = unused(rows, "_word", "_bits")
-    table = store(keys.groupBy(word(asked).alias(w)).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit(asked)})")).alias(bits)), "bits")
-    marked = rows.join(F.broadcast(table), word(own) == F.col(w), "left")
-    held = F.expr(f"coalesce(shiftright({bits}, {bit(own)}) & 1, 0L)") == 1
-    return marked.where(held).drop(w, bits), marked.where(~held).drop(w, bits)
+    sides = named.groupBy("band", "label").agg(F.count("*").alias("k"), F.max_by("set_id", F.xxhash64("set_id", F.lit(turn))).alias("a"))
+    main = (sides.groupBy("band").agg(F.max_by(F.struct("label", "a"), F.struct("k", "label")).alias("m"), F.count("*").alias("labels"))
+            .where("labels > 1").select("band", "m.*").withColumnRenamed("label", "main"))
+    apart = store(named.join(main, "band").where("set_id <> a"), "apart")
+    return apart.select("band", "set_id"), apart.where("label <> main").select("a", F.col("set_id").alias("b"))
+
+
+def _maybe(rows: DataFrame, keys: DataFrame, doc_id: str, text_key: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of which the keys (_id, _key) may hold the document, and those of which they surely do not."""
+    return maybe_asked(rows, keys.select("_id", "_key"), [doc_id, text_key])
 
 
 def _texts_of(source: DataFrame, holders: DataFrame, words: int) -> DataFrame:
@@ -230,15 +225,16 @@ def _texts_of(source: DataFrame, holders: DataFrame, words: int) -> DataFrame:
     holders = store(holders, "holders")
     asked, _ = _maybe(source, holders, "doc_id", "text_key")
     texts = (asked.join(holders, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")))
-             .select("set_id", "text"))
-    return texts.mapInArrow(set_writer(words), "set_id binary, shingles binary").dropDuplicates(["set_id"])
+             .select("set_id", "text").dropDuplicates(["set_id"]))  # a text is less to move than its set
+    return texts.mapInArrow(set_writer(words), "set_id binary, shingles binary")
 
 
-def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, full: DataFrame, percent: int, few: bool = False) -> DataFrame:
     """The pairs (a, b) whose sets share enough, as stars around a.
 
     The names that are asked for are written first: where they are few, Spark sends them to
-    the sets, and only sets that are asked for are moved. A centre goes once to each thousand of its
+    the sets, and only sets that are asked for are moved; ``few`` says that many sets are not, whom a
+    table of bits then keeps in place. A centre goes once to each thousand of its
     partners, which follow it, so a hot star is many tasks and its set is not repeated by pair.
     """
     pairs = store(pairs.distinct(), "pairs")
@@ -246,6 +242,7 @@ def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     members = pairs.join(sizes, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", F.lit(False).alias("centre"))
     centres = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("b"), F.lit(True).alias("centre"))
     asked = store(members.unionByName(centres), "asked")
+    full = maybe_asked(full, asked.select("b"), ["set_id"])[0] if few else full
     return (asked.join(full, F.col("b") == F.col("set_id")).select("a", "part", "b", "centre", "shingles")
             .repartition("a", "part").sortWithinPartitions("a", "part", F.desc("centre"))
             .select("a", "b", "centre", "shingles").mapInArrow(verifier(percent), "a binary, b binary"))
@@ -261,6 +258,7 @@ def _prefix_pairs(open_sets: DataFrame, full: DataFrame, percent: int) -> DataFr
                 yield pa.record_batch([batch["set_id"], batch["label"], pa.ListArray.from_arrays(at, np.concatenate(raw))],
                                       ["set_id", "label", "shingles"])
 
+    full, _ = maybe_asked(full, open_sets.select("set_id"), ["set_id"])
     rows = (open_sets.join(full, "set_id").select("set_id", "label", "shingles")
             .mapInArrow(unpack, "set_id binary, label binary, shingles array<long>")
             .select("set_id", "label", F.size("shingles").alias("n"), F.explode("shingles").alias("s")))

@@ -72,3 +72,34 @@ def test_texts_that_nobody_asks_for_are_not_joined(spark):
     maybe, sure = minhash._maybe(rows, keys, "doc_id", "text_key")
     assert maybe.columns == rows.columns == sure.columns and maybe.count() + sure.count() == 2000
     assert sure.where("_word % 50 = 5").isEmpty() and 40 <= maybe.count() < 60
+
+
+def test_two_sets_meet_once(spark, monkeypatch):
+    """Sets that share bands without being near are verified in one round, and go no further."""
+    rows = []
+    for i in range(8):
+        words = [f"w{i}x{k}" for k in range(200)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:170] + [f"v{i}x{k}" for k in range(30)]))]
+    rounds, plain = [], minhash._verified
+
+    def verified(pairs, *args, **more):
+        rounds.append([frozenset(map(bytes, p)) for p in pairs.distinct().collect()])
+        return plain(pairs, *args, **more)
+
+    monkeypatch.setattr(minhash, "_verified", verified)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert minhash.near_duplicates(docs, 2, 80).where("kept").count() == 16
+    assert len(rounds[0]) == 8 and not any(rounds[1:])
+
+
+def test_a_member_that_leaves_a_band_has_met_the_others(spark):
+    """Of every band, two sets of different components are a pair of this turn, or both stay."""
+    rng = np.random.default_rng(5)
+    rows = [(band, bytes([s]), bytes([label])) for band in range(30) for s, label in enumerate(rng.integers(0, 3, rng.integers(2, 9)))]
+    named = spark.createDataFrame([(b, bytearray(s), bytearray(x)) for b, s, x in rows], "band long, set_id binary, label binary")
+    apart, pairs = minhash._turn(named, 0)
+    stay = {(r.band, bytes(r.set_id)) for r in apart.collect()}
+    met = {frozenset((bytes(p.a), bytes(p.b))) for p in pairs.collect()}
+    apart_pairs = [(b, s, t) for b, s, x in rows for c, t, y in rows if b == c and s < t and x != y]
+    assert all(frozenset((s, t)) in met or {(b, s), (b, t)} <= stay for b, s, t in apart_pairs)
+    assert len(stay) == sum(len({x for c, _, x in rows if c == b}) > 1 for b, _, _ in rows) - len({b for b, _, _ in apart_pairs})
