@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from crashlake.llm.common import store, text_of, unused
+from crashlake.llm.common import maybe_asked, store, text_of, unused
 
 #: Words of a window for repeats; rules that reject at once.
 WINDOW, LEAST_WORDS, MOST_REPEAT = 8, 20, 30
@@ -187,12 +187,17 @@ def quality_report(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows and columns of ``docs`` that ``quality_report`` keeps.
 
-    Verdicts come back by doc_id, language, source and text hash, on which alone they depend.
+    Verdicts come back by doc_id, language, source and text hash, on which alone they depend. Only texts
+    that may be rejected are moved to meet them.
     """
     keys = ["doc_id", *KEYS, "text_key"]
+    bad = store(quality_report(docs).where("NOT kept").select(*keys).distinct(), "rejected")
     own = dict(zip(keys, unused(docs, *[f"_{k}" for k in keys])))
-    bad = store(quality_report(docs).where("NOT kept").select(*own).distinct().withColumnsRenamed(own), "rejected")
-    same = F.xxhash64(text_of(docs.text)) == F.col(own["text_key"])
+    key, = unused(docs, "_text_hash")
+    keyed = docs.withColumn(key, F.xxhash64(text_of(docs.text)))
+    maybe, sure = maybe_asked(keyed, bad, ["doc_id", *KEYS, key])
+    bad = bad.withColumnsRenamed(own)
+    same = F.col(key) == F.col(own["text_key"])
     for k in keys[:-1]:
-        same &= docs[k].eqNullSafe(F.col(own[k]))
-    return docs.join(bad, same, "left_anti")
+        same &= F.col(k).eqNullSafe(F.col(own[k]))
+    return sure.unionByName(maybe.join(bad, same, "left_anti")).drop(key)

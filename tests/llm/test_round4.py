@@ -5,7 +5,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from crashlake.llm import minhash, suffixes, token_files
+from crashlake.llm import minhash, quality, suffixes, token_files
 
 
 def test_suffix_order_writes_no_files(monkeypatch):
@@ -103,3 +103,25 @@ def test_a_member_that_leaves_a_band_has_met_the_others(spark):
     apart_pairs = [(b, s, t) for b, s, x in rows for c, t, y in rows if b == c and s < t and x != y]
     assert all(frozenset((s, t)) in met or {(b, s), (b, t)} <= stay for b, s, t in apart_pairs)
     assert len(stay) == sum(len({x for c, _, x in rows if c == b}) > 1 for b, _, _ in rows) - len({b for b, _, _ in apart_pairs})
+
+
+def test_texts_that_are_kept_are_not_joined(spark, monkeypatch):
+    """Few texts besides the rejected ones meet the verdicts; null keys and rows that differ in one key alone are told apart."""
+    rows = [(None if i % 9 == 0 else i, " ".join(f"w{i}x{k}" for k in range(40 if i % 10 else 5)), None if i % 7 == 0 else "en", f"s{i % 2}", 3)
+            for i in range(300)]
+    rows += [(10, rows[11][1], "en", "s0", 4), (11, rows[10][1], "en", "s1", 4), (11, rows[11][1], "de", "s1", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _text_hash int")
+    moved, plain = [], quality.maybe_asked
+
+    def asked(*args):
+        maybe, sure = plain(*args)
+        moved.append(maybe.count())
+        return maybe, sure
+
+    monkeypatch.setattr(quality, "maybe_asked", asked)
+    report = quality.quality_report(docs)
+    names = ["doc_id", "lang", "source"]
+    good = quality.keep_good(docs)
+    bad = report.where("NOT kept").count()
+    assert good.columns == docs.columns and bad <= moved[0] < bad + 20 and 30 < bad < 200
+    assert sorted(map(str, good.select(*names).collect())) == sorted(map(str, report.where("kept").select(*names).collect()))
