@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crashlake.functions.platforms import ilike_map
+from crashlake.operators import patterns
 from crashlake.operators.counts import uptime_level
 from crashlake.operators.intervals import interval_join
 from crashlake.operators.patterns import ilike_join
@@ -140,6 +141,24 @@ def test_pairs_of_patterns_are_not_broadcast(spark):
     assert not any(key in line for line in joins for key in ("_text", "_like")) and not any("_gram" in line and "Inner" in line for line in joins)
 
 
+def test_grams_that_no_pattern_is_looked_up_by_are_not_moved(spark, monkeypatch):
+    """Of a text of 30 grams the one that decides meets the patterns, and none of a text that fits none."""
+    moved, plain = [], patterns._looked_up
+
+    def looked_up(held, keys):
+        out = plain(held, keys)
+        moved.append((held.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(patterns, "_looked_up", looked_up)
+    names = [f"common beginning of {i:05d} and the end" for i in range(600)]
+    t = spark.createDataFrame(list(enumerate(names)), "t long, name string")
+    r = spark.createDataFrame([(i, f"common beginning OF {i:05d}%") for i in range(100)], "r long, likes string")
+    got = ilike_join(t, r, "name", "likes")
+    assert sorted((x.t, x.r) for x in got.collect()) == [(i, i) for i in range(100)] and no_loop(got)
+    assert moved[0][0] > 15000 and moved[0][1] <= 1000
+
+
 @pytest.mark.parametrize("how,joins", [("inner", 1), ("left", 3)])
 def test_pairs_of_intervals_are_not_moved(spark, how, joins):
     """Pairs may be as many as points times intervals: they come out of the last join, which tests the bounds."""
