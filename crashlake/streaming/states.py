@@ -28,9 +28,16 @@ SHOWN = ("%Y-%m-%dT%H:%M", "%Y-%m-%dT%H", "%Y-%m-%d", "%Y-%m", "%Y")
 
 
 def stream_settings(spark: SparkSession) -> SparkSession:
-    """State on disk instead of in the executors' heap; timers need it."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    """State on disk instead of in the executors' heap; timers need it.
+
+    The caches of all stores of an executor share one bound, a batch writes its changes only, and a
+    join keeps its state in one store a partition instead of four.
+    """
+    store = "spark.sql.streaming.stateStore"
+    spark.conf.set(f"{store}.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set(f"{store}.rocksdb.boundedMemoryUsage", "true")
+    spark.conf.set(f"{store}.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set("spark.sql.streaming.join.stateFormatVersion", "3")
     return spark
 
 
