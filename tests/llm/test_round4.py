@@ -1,11 +1,14 @@
 """What the corpus operators keep on disk and how often they compute a thing."""
 
+from collections import Counter
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
 
-from crashlake.llm import minhash, quality, suffixes, token_files
+from crashlake.llm import chaining, minhash, quality, suffixes, token_files
+from test_corpus import sentence
 
 
 def test_suffix_order_writes_no_files(monkeypatch):
@@ -125,3 +128,38 @@ def test_texts_that_are_kept_are_not_joined(spark, monkeypatch):
     bad = report.where("NOT kept").count()
     assert good.columns == docs.columns and bad <= moved[0] < bad + 20 and 30 < bad < 200
     assert sorted(map(str, good.select(*names).collect())) == sorted(map(str, report.where("kept").select(*names).collect()))
+
+
+def test_a_common_line_does_not_pair_its_documents(spark):
+    """Documents that share a line of 17 words and no more are no pairs; of those that go on alike after it none is lost."""
+    line, more = sentence(700, 17), sentence(701, 40)
+    rows = [(i, f"{sentence(710 + i, 60)} {line} {sentence(810 + i, 60)}") for i in range(60)]
+    rows += [(100 + i, f"{sentence(910 + i, 60)} {line} {more} {sentence(930 + i, 60)}") for i in range(4)]
+    rows += [(200 + i, f"{sentence(950 + i, 60)} {'the ' * (12 + i % 9)} {sentence(980 + i, 60)}") for i in range(30)]
+    rows += [(300 + i, f"{sentence(1050 + i, 60)} {'the ' * (45 + i)} {sentence(1080 + i, 60)}") for i in range(3)]
+    asked, plain = [], chaining._unmet_pairs
+
+    def unmet_pairs(*args):
+        out = plain(*args)
+        asked.append({tuple(r) for r in out.collect()})
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(chaining, "_unmet_pairs", unmet_pairs)
+        found = chaining.fuzzy_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    near = {(100 + i, 100 + j) for i in range(4) for j in range(i)} | {(300 + i, 300 + j) for i in range(3) for j in range(i)}
+    assert {(r.doc_id, r.other_id) for r in found} == near
+    assert len(asked[0] - near) <= 4  # all pairs are over 2,000
+
+
+def test_links_grow_as_passages_do():
+    """Pairs that meet at a link are those that ``grow`` takes to the least length, however many parts they are dealt to."""
+    rng = np.random.default_rng(4)
+    sides = rng.integers(0, 9, (2, 40))
+    words = [[np.where(rng.random(40) < 0.85, s, rng.integers(9, 18, 40))[:rng.integers(0, 41)].astype(np.uint32) for s in sides] for _ in range(60)]
+    rows = {"doc_id": list(range(60)), "bucket": [0] * 60, "unmet": [i % 3 > 0 for i in range(60)], "away": [9] * 60, "free": [False] * 60, "size": [14] * 60,
+            "part": [i % 2 for i in range(60)], "word": [7] * 60, "before": [a.tobytes() for a, _ in words], "after": [b.tobytes() for _, b in words]}
+    got = Counter(p for q in ((0, 0), (0, 1), (1, 1)) for p in zip(*(c.tolist() for c in chaining.meetings(rows, *q))))
+    grown = lambda i, j: sum(chaining.grow(words[i][side], words[j][side])[0] for side in (0, 1))
+    want = {(i, j) for i in range(60) for j in range(i) if (i % 3 or j % 3) and 14 + grown(i, j) >= chaining.LEAST_WORDS}
+    assert got == Counter(want) and 20 < len(want) < 1500
