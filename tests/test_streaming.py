@@ -178,19 +178,15 @@ def test_hang_sides(spark):
 
 def test_hang_sides_keep_state_on_disk(spark, tmp_path):
     """No store of the chain is one of the executors' heap, which all user-info rows of a period would have to fit."""
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    had = spark.conf.get(provider)
-    spark.conf.unset(provider)
-    try:
-        rows = [("b", dt.datetime(2024, 1, 3), "h", "browser", "hang | x", "11", "v"), ("p", dt.datetime(2024, 1, 3), "h", "plugin", "hang | x", "11", "v")]
-        clean = spark.createDataFrame(rows, "uuid string, date_processed timestamp, hang_id string, process_type string, signature string, flash_version string, product_version_id string")
-        info = clean.select("uuid", "date_processed", F.lit("u").alias("url"))
-        sides = windows.hang_sides(replay(clean, "c", "date_processed", 1), replay(info, "i", "date_processed", 1), "1 day", salts=2)
-        query = (sides.writeStream.format("parquet").option("path", str(tmp_path / "rows")).option("checkpointLocation", str(tmp_path / "checkpoint"))
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
-    finally:
-        spark.conf.set(provider, had)
+    for name in ("stateStore.providerClass", "join.stateFormatVersion"):
+        spark.conf.unset(f"spark.sql.streaming.{name}")
+    rows = [("b", dt.datetime(2024, 1, 3), "h", "browser", "hang | x", "11", "v"), ("p", dt.datetime(2024, 1, 3), "h", "plugin", "hang | x", "11", "v")]
+    clean = spark.createDataFrame(rows, "uuid string, date_processed timestamp, hang_id string, process_type string, signature string, flash_version string, product_version_id string")
+    info = clean.select("uuid", "date_processed", F.lit("u").alias("url"))
+    sides = windows.hang_sides(replay(clean, "c", "date_processed", 1), replay(info, "i", "date_processed", 1), "1 day", salts=2)
+    query = (sides.writeStream.format("parquet").option("path", str(tmp_path / "rows")).option("checkpointLocation", str(tmp_path / "checkpoint"))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
     stores = {o.operatorName: dict(o.customMetrics) for o in query.lastProgress.stateOperators}
     assert len(stores) == 2 and all(any(name.startswith("rocksdb") for name in m) for m in stores.values())
     assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "rows")).select("plugin_uuid", "browser_uuid", "url").collect()] == [("p", "b", "u")]
